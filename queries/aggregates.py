@@ -129,7 +129,7 @@ def _two_level_sql(level, value, inner, name):
     digits = 0 if inner == "sum" else 4
     expr = {"nunique": f"count(DISTINCT {value})", "count": f"count({value})", "sum": f"coalesce(sum({value}), 0)"}[inner]
     return f"""
-SELECT card_id, round(avg(v), 6) AS {name}_mean, max(v) AS {name}_max,
+SELECT card_id, round(avg(v), {2 if inner == 'sum' else 6}) AS {name}_mean, max(v) AS {name}_max,
        round(stddev_samp(v), {digits}) AS {name}_std
 FROM (SELECT card_id, {level} AS lv, {expr} AS v FROM txn WHERE {level} IS NOT NULL GROUP BY card_id, {level}) GROUP BY card_id"""
 
@@ -140,7 +140,7 @@ def _two_level_query(level, value, inner, tag):
     @query(f"a12_two_level_{tag}", _two_level_sql(level, value, inner, name))
     def _(t):
         df = ag.two_level(t.txn, "card_id", level, value, inner)
-        return df.select("card_id", r(f"{name}_mean", 6).alias(f"{name}_mean"), f"{name}_max",
+        return df.select("card_id", r(f"{name}_mean", 2 if inner == "sum" else 6).alias(f"{name}_mean"), f"{name}_max",
                          r(f"{name}_std", 0 if inner == "sum" else 4).alias(f"{name}_std"))
 
 
