@@ -63,6 +63,11 @@ def elapsed_days(as_of: str, ts: Column | str) -> Column:
     return floor_div(seconds, DAY_SECONDS)
 
 
+def whole_days(later: Column | str, earlier: Column | str) -> Column:
+    """Full 24-hour days between two moments, rounded down."""
+    return floor_div(F.unix_timestamp(F.to_timestamp(later)) - F.unix_timestamp(F.to_timestamp(earlier)), DAY_SECONDS)
+
+
 def month_diff(as_of: str, ts: Column | str, month_lag: Column | str) -> Column:
     """Thirty-day months from the event to ``as_of``, shifted by the month lag."""
     return floor_div(elapsed_days(as_of, ts), 30) + col(month_lag)
