@@ -58,7 +58,7 @@ def apply_codes(df: DataFrame, codes: DataFrame, c: str, out: str | None = None,
 
 
 # Up to this many values a dictionary is inlined as an expression instead of joined.
-INLINE_VALUES = 64
+INLINE_VALUES = 128
 
 
 def small_dictionaries(df: DataFrame, cols: Sequence[str], limit: int = INLINE_VALUES) -> dict[str, list]:

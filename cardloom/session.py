@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 RUNTIME_OPTIONS = {
@@ -19,6 +20,8 @@ RUNTIME_OPTIONS = {
     # A hot key must be split even when the split costs one more exchange
     # before the aggregate that follows the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Wide feature lists make thousands of column calls; skip their call-site records.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Partial states are merged on the map side before every aggregate shuffle.
     "spark.sql.execution.replaceHashWithSortAgg": "false",
 }
@@ -26,7 +29,10 @@ RUNTIME_OPTIONS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_OPTIONS.items():
-        spark.conf.set(name, value)
+        try:
+            spark.conf.set(name, value)
+        except AnalysisException:
+            pass  # fixed at start on this deployment
     return spark
 
 
@@ -37,6 +43,7 @@ def build_session(app: str = "cardloom", cpus: int | str = "*", shuffle_partitio
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")

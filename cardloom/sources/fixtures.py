@@ -11,6 +11,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .tables import spread_small
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -65,7 +67,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name]

@@ -62,6 +62,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
         for f in df.schema.fields])
 
 
+# Below this size a scan has too few row groups to keep all cores busy.
+SPREAD_BELOW_BYTES = 64 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a small scan over the cores; a Parquet row group is never split between tasks.
+
+    Larger tables already have enough row groups and are left alone.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (1 << 20) < size < SPREAD_BELOW_BYTES else df
+
+
 def read_predictions(spark: SparkSession, path: str, model: str | None = None,
                      target_kind: str | None = None) -> DataFrame:
     """Keyed predictions; the filters prune partition directories."""
