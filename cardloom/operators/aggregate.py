@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.semantics import col, dbl, div_inf, skew_g1
+from ..functions.semantics import dbl, div_inf, skew_g1
+from .skew import keyed_join
 
 
 Spec = Mapping[str, Sequence[str]]
@@ -165,7 +166,7 @@ def latest(df: DataFrame, key: str, ts: str, values: Sequence[str] = ()) -> Data
 def attach_reference(new: DataFrame, hist: DataFrame, key: str, ts: str, out: str = "reference_day") -> DataFrame:
     """The last historical timestamp of the key on every new row."""
     ref = hist.groupBy(key).agg(F.max(ts).alias(out))
-    return new.join(ref, key, "left")
+    return keyed_join(new, ref, key)
 
 
 def share_of_total(df: DataFrame, key: str, part: str, counted: str, out: str = "share") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, Nume
                                TimestampNTZType, TimestampType)
 
 from ..functions.semantics import INF, dbl
+from .skew import keyed_join
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -91,7 +92,8 @@ def without_outliers(df: DataFrame, flag: str = "outliers") -> DataFrame:
 
 
 def restrict_to(facts: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    return facts.join(entities.select(key), key, "left_semi")
+    """Facts of known entities only."""
+    return keyed_join(facts, entities.select(key), key, "left_semi")
 
 
 # The name rules that remove columns from the refined feature table.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import map_values
 from ..session import ensure_checkpoint_dir
+from .skew import keyed_join
 
 # A dictionary up to this many rows may be ranked in one task and broadcast.
 SMALL_ROWS = 100_000
@@ -19,11 +20,10 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
 
 
 def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", rows: int = SMALL_ROWS) -> DataFrame:
-    """Join a keyed table to facts: broadcast when its size is checked, otherwise a shuffled join.
-
-    The shuffled join leaves the split of hot keys to the runtime's skew join.
-    """
-    return facts.join(F.broadcast(table) if is_small(table, rows) else table, key, how)
+    """Join a keyed table to facts: broadcast when its size is checked, otherwise a shuffled join with hot keys split."""
+    if is_small(table, rows):
+        return facts.join(F.broadcast(table), key, how)
+    return keyed_join(facts, table, key, how)
 
 
 def fit_codes(df: DataFrame, c: str, out: str = "code", rows: int = SMALL_ROWS) -> DataFrame:

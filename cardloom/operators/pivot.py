@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.semantics import dbl, div_inf
 from .aggregate import Segments, _texts, predicate
@@ -70,8 +70,11 @@ def pivot_name(column: Column, kind: str, value: Column) -> Column:
 def pivot_features(rollup: DataFrame, key: str, segments: Sequence[str], shares_of: Sequence[str]) -> DataFrame:
     """(key, feature, v): counts per value, and distinct-day shares for the columns in ``shares_of``."""
     n = range(len(segments))
-    totals = rollup.filter(F.col("column") == "").select(key, *[F.col(f"days_{i}").alias(f"_all{i}") for i in n])
-    rows = rollup.filter(F.col("column") != "").join(totals, key)
+    # a key has one row per category value here, so the dictionaries bound the window group
+    whole = Window.partitionBy(key)
+    rows = rollup.select("*", *[
+        F.max(F.when(F.col("column") == "", F.col(f"days_{i}"))).over(whole).alias(f"_all{i}") for i in n])
+    rows = rows.filter(F.col("column") != "")
     shared = F.col("column").isin(*shares_of) if shares_of else F.lit(False)
     entries = []
     for i, seg in zip(n, segments):

@@ -24,7 +24,9 @@ def value_bucket(v: Column) -> Column:
     size = F.abs(v)
     code = F.when(size == INF, F.lit(2 * _SHIFT).cast("bigint")).otherwise(
         F.floor(F.ln(F.when((size > 0) & (size < INF), size)) * _STEPS).cast("bigint") + _SHIFT)
-    return F.when(v == 0, F.lit(0).cast("bigint")).when(v > 0, code).otherwise(-code)
+    zero = F.lit(0).cast("bigint")
+    # never NULL, so a join on it adds no filter that would keep the two readers of the counts apart
+    return F.coalesce(F.when(v > 0, code).when(v < 0, -code), zero)
 
 
 def rank_values(df: DataFrame, key: str | list[str], value: str,

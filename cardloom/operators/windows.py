@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.semantics import floor_div
+from .skew import keyed_join
 
 
 def _chunk(order: Sequence[str], chunk: Column | None) -> Column:
@@ -80,12 +81,11 @@ def days_to_last(df: DataFrame, keys: str | Sequence[str], ts: str,
                  out: str = "purchase_day_since_reference_day") -> DataFrame:
     """Days from each row to its key's last day.
 
-    The maximum is a partial aggregate joined back by key; the runtime splits
-    the join's hot partition.
+    The maximum is a partial aggregate joined back by key with hot keys split.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    last = df.groupBy(*keys).agg(F.to_date(F.max(ts)).alias("_last_day"))
-    return (df.join(last, keys, "left")
+    last = df.groupBy(*keys).agg(F.to_date(F.max(ts)).alias("_last_day"), F.count(F.lit(1)).alias("_rows"))
+    return (keyed_join(df, last, keys, size="_rows")
             .withColumn(out, F.datediff(F.col("_last_day"), F.to_date(ts))).drop("_last_day"))
 
 

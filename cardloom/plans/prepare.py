@@ -10,6 +10,7 @@ from ..functions import dates, scalars
 from ..operators.clean import fill_with_mean, replace_infinite
 from ..operators.encode import encode_together, ordinal_encode
 from ..operators.joins import enrich, union_all
+from ..operators.skew import keyed_join
 from ..operators.windows import days_to_last, first_per_key, gap_days, group_diff
 
 # Column roles of the merchant table.
@@ -109,7 +110,7 @@ def expand_transactions(df: DataFrame, cards: DataFrame, order: Sequence[str], k
     from ..functions.semantics import floor_div
 
     rows = clean_transactions(df, missing_merchant)
-    rows = rows.join(cards.select(key, F.to_date("first_active_month").alias("first_active_month")), key, "left")
+    rows = keyed_join(rows, cards.select(key, F.to_date("first_active_month").alias("first_active_month")), key)
     active = F.datediff("purchase_date_floorday", "first_active_month")
     rows = rows.withColumn("purchase_day_since_active_day", active).withColumns({
         "purchase_month_since_active_day": floor_div("purchase_day_since_active_day", 30),

@@ -18,6 +18,7 @@ from ..operators import aggregate as ag, pivot as pv, quantile as qt
 from ..operators.clean import flag_outliers, prune_by_name, pruned_by_name
 from ..operators.encode import target_encode
 from ..operators.joins import join_features
+from ..operators.skew import keyed_join
 
 KEY = "card_id"
 # Statistics of the base family.
@@ -104,8 +105,10 @@ def group_mean_means(df: DataFrame, segments: Mapping[str, str]) -> DataFrame:
                   *[F.count(F.when(F.col(f"_in{i}"), F.lit(1))).alias(f"_n{i}") for i in range(len(segs))],
                   *[F.sum(F.when(F.col(f"_in{i}"), F.col("_a"))).alias(f"_t{i}") for i in range(len(segs))]))
     means = totals.groupBy("column", "value").agg(*[
-        F.try_divide(F.sum(f"_t{i}"), F.sum(f"_n{i}")).alias(f"_m{i}") for i in range(len(segs))])
-    joined = totals.join(means, ["column", "value"])
+        F.try_divide(F.sum(f"_t{i}"), F.sum(f"_n{i}")).alias(f"_m{i}") for i in range(len(segs))],
+        F.count(F.lit(1)).alias("_cards"))
+    # a category has a handful of values, each shared by a large part of the cards
+    joined = keyed_join(totals, means, ["column", "value"], "inner", size="_cards")
     out = []
     for i, s in enumerate(segs):
         for c in GROUP_MEANS:

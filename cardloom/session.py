@@ -8,6 +8,7 @@ cluster.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -60,3 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cardloom-checkpoint-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh path under the shared checkpoint folder, for staged tables."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"

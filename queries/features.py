@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cardloom.functions import dates as d
 from cardloom.operators import (blend as bl, clean as cl, folds as fo, pivot as pv, profile as pr, select as se, text as tx)
 from cardloom.operators.joins import align
+from cardloom.operators.skew import keyed_join
 from cardloom.sources.fixtures import ROW_ORDER
 from cardloom.sources.tables import to_submission
 
@@ -91,7 +92,8 @@ _CORR = ["purchase_amount", "installments", "category_2", "city_id", "month_lag"
     f"SELECT '{c}' AS feature, round(abs(CASE WHEN min(coalesce({c}, 0)) < max(coalesce({c}, 0)) THEN corr(coalesce({c}, 0), y) END), 9) AS abs_corr FROM z"
     for c in _CORR).join(("WITH z AS (SELECT t.*, 1 AS flat, c.target AS y FROM txn t JOIN cards c ON c.card_id = t.card_id WHERE c.split = 'train') ", "")))
 def _(t):
-    df = t.txn.join(t.cards.filter("split = 'train'").select("card_id", "target"), "card_id").withColumn("flat", F.lit(1))
+    labels = t.cards.filter("split = 'train'").select("card_id", "target")
+    df = keyed_join(t.txn, labels, "card_id", "inner").withColumn("flat", F.lit(1))
     return pr.corr_with_target(df, _CORR, "target").select("feature", F.round("abs_corr", 9).alias("abs_corr"))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cardloom.functions import dates as d, scalars as sc, semantics as se
 from cardloom.operators import aggregate as ag, clean as cl, encode as en, joins as jo, windows as wi
+from cardloom.operators.skew import keyed_join
 from cardloom.sources.fixtures import ROW_ORDER
 
 from .registry import query
@@ -50,7 +51,7 @@ def _(t):
 SELECT x.card_id, {ORDS} FROM txn x JOIN cards c ON c.card_id = x.card_id WHERE x.purchase_date < c.first_active_month""")
 def _(t):
     cards = t.cards.select("card_id", F.col("first_active_month").cast("timestamp_ntz").alias("m"))
-    return t.txn.join(cards, "card_id").filter(F.col("purchase_date") < F.col("m")).select(*LINE)
+    return keyed_join(t.txn, cards, "card_id", "inner").filter(F.col("purchase_date") < F.col("m")).select(*LINE)
 
 
 @query("p07_authorized_rows", f"SELECT card_id, {ORDS} FROM txn WHERE authorized_flag = 'Y'")
@@ -158,7 +159,7 @@ def _(t):
 SELECT x.card_id, {ORDS}, CAST(date_diff('day', CAST(c.first_active_month AS DATE), CAST(x.purchase_date AS DATE)) AS INT) AS days
 FROM txn x LEFT JOIN cards c ON c.card_id = x.card_id""")
 def _(t):
-    rows = t.txn.join(t.cards.select("card_id", "first_active_month"), "card_id", "left")
+    rows = keyed_join(t.txn, t.cards.select("card_id", "first_active_month"), "card_id")
     return rows.select(*LINE, d.days_between("purchase_date", "first_active_month").alias("days"))
 
 
@@ -304,7 +305,7 @@ def _(t):
 SELECT x.card_id, {ORDS}, CAST(c.first_active_month AS DATE) AS first_active_month FROM txn x LEFT JOIN cards c ON c.card_id = x.card_id""")
 def _(t):
     cards = t.cards.select("card_id", F.to_date("first_active_month").alias("first_active_month"))
-    return t.txn.join(cards, "card_id", "left").select(*LINE, "first_active_month")
+    return keyed_join(t.txn, cards, "card_id").select(*LINE, "first_active_month")
 
 
 @query("j04_reference_day", f"""
