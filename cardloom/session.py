@@ -23,8 +23,6 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Wide feature lists make thousands of column calls; skip their call-site records.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Partial states are merged on the map side before every aggregate shuffle.
-    "spark.sql.execution.replaceHashWithSortAgg": "false",
 }
 
 
