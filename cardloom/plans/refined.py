@@ -360,12 +360,11 @@ def refined_features(cards: DataFrame, rows: DataFrame, as_of: str, now: str = "
     ``cards`` has a ``split`` column; encodings are fitted on train only. The
     key, label and split stay in the result.
     """
-    base = base_statistics(rows, as_of)
-    profile = card_profile(rows, cards, as_of, hist_now or now, new_now, drop_pruned=True)
-    levels = two_level_features(rows)
-    df = join_features(card_attributes(cards, now), [base, profile, levels], KEY)
-    df = flag_outliers(df, "target", outlier_below)
-    train = flag_outliers(cards.filter("split = 'train'"), "target", outlier_below)
+    # encodings need only the narrow card table, so they come before the wide joins
+    df = flag_outliers(card_attributes(cards, now), "target", outlier_below)
+    train = df.filter("split = 'train'")
     for f in ("feature_1", "feature_2", "feature_3"):
         df = target_encode(train, df, f, "outliers", f"{f}_outliers_mean")
+    profile = card_profile(rows, cards, as_of, hist_now or now, new_now, drop_pruned=True)
+    df = join_features(df, [base_statistics(rows, as_of), profile, two_level_features(rows)], KEY)
     return prune_by_name(final_ratios(df), keep=(KEY, "target", "split", "outliers"))
