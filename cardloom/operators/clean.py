@@ -79,7 +79,8 @@ def with_affix(df: DataFrame, key: str, prefix: str = "", suffix: str = "") -> D
 
 def drop_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``right`` without the columns that ``left`` has, except the key."""
-    return right.drop(*[c for c in right.columns if c in set(left.columns) and c != key])
+    have = set(left.columns) - {key}
+    return right.drop(*[c for c in right.columns if c in have])
 
 
 def flag_outliers(df: DataFrame, c: str = "target", below: float = -30.0, out: str = "outliers") -> DataFrame:

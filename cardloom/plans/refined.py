@@ -230,10 +230,10 @@ def card_profile(rows: DataFrame, cards: DataFrame, as_of: str, hist_now: str =
     activation = cards.select(KEY, F.to_date("first_active_month").alias("_active"))
     joined = (totals.join(activation, KEY, "left").join(decayed_sums(daily), KEY, "left")
               .join(before_activation(daily, cards), KEY, "left").join(ranks, KEY, "left").join(wide, KEY, "left"))
+    # a card with rows in the segment but none of a value counts 0 there, otherwise NULL
+    empty = {s: F.when(F.col(f"{s}authorized_flag_count").isNotNull(), F.lit(0.0)) for s in PROFILE_SEGMENTS}
     return joined.select(KEY, *_profile_columns(hist_now, new_now), *[
-        # a card with rows in the segment but none of this value counts 0
-        F.when(F.col(f"{_segment_of(n)}authorized_flag_count").isNotNull(), F.coalesce(F.col(f"`{n}`"), F.lit(0.0))).alias(n)
-        for n in names])
+        F.coalesce(F.col(f"`{n}`"), empty[_segment_of(n)]).alias(n) for n in names])
 
 
 def _segment_of(name: str) -> str:
