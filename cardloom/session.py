@@ -7,6 +7,7 @@ cluster.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,12 +54,16 @@ def build_session(app: str = "cardloom", cpus: int | str = "*", shuffle_partitio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make one only where none is named."""
+    """Use the shared folder the cluster names. Only a session on one machine may go without."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cardloom-checkpoint-"))
+    if not named:
+        if not re.match(r"local($|\[)", context.master):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+        named = tempfile.mkdtemp(prefix="cardloom-checkpoint-")
+    context.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:
