@@ -100,8 +100,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.count("*").alias("twins"), F.max("kept").alias("stays")).filter("twins > 1 or not stays")
     marks = stage(marks.select(F.col("doc_id").alias("_mark_id"), F.col("text_sha256").alias("_mark_sha"),
                                F.col("stays").alias("_mark_stays")))
-    same = F.col(id_col).eqNullSafe(F.col("_mark_id")) & (F.sha2(whole(F.col(text_col)), 256) == F.col("_mark_sha"))
-    marked = docs.join(marks, same, "left")
-    plain = marked.filter(F.col("_mark_sha").isNull()).select(docs.columns)
-    repeated = marked.filter("_mark_stays").dropDuplicates(["_mark_id", "_mark_sha"]).select(docs.columns)
-    return plain.unionByName(repeated)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.sha2(whole(F.col(text_col)), 256).alias("_sha"))
+    marked = rows.join(marks, F.col("_id").eqNullSafe(F.col("_mark_id")) & (F.col("_sha") == F.col("_mark_sha")), "left")
+    plain = marked.filter(F.col("_mark_sha").isNull())
+    repeated = marked.filter("_mark_stays").dropDuplicates(["_id", "_sha"])
+    return plain.unionByName(repeated).select("_row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, mixing, packing, token_counts
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,55 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.suffix_sums(token_counts.length_histogram(documents(spark, folder)))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder))
+
+
+@query("op10_source_mixing", """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM totals),
+filling AS (
+  SELECT *, row_number() OVER f AS place,
+         (1.5 * sum(source_size) OVER () - 2.0 * coalesce(sum(source_size) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted WINDOW f AS (ORDER BY source_size / weight, source NULLS LAST)),
+leveled AS (
+  SELECT source, source_size, least(weight * (SELECT arg_min(level, place) FROM filling WHERE level * weight <= 2.0 * source_size),
+                                    2.0 * source_size)::DOUBLE AS target FROM filling),
+shares AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM leveled),
+drawn AS (
+  SELECT s.doc_id, s.size, h.*, floor(ratio)::BIGINT AS certain, ratio - floor(ratio) AS p,
+         target - floor(ratio)::BIGINT * h.source_size AS quota,
+         (('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, 'null') || ':10'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM sized s JOIN shares h ON s.source IS NOT DISTINCT FROM h.source),
+ranked AS (
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM drawn),
+ordered AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id::VARCHAR, size) AS upto FROM ranked WHERE rank IS NOT NULL),
+cut AS (
+  SELECT *, upto - quota <= quota - (upto - size) AS inside FROM ordered),
+reached AS (
+  SELECT source, coalesce(sum(size) FILTER (inside), 0) AS reached FROM cut GROUP BY source),
+closing AS (
+  SELECT c.source, arg_min(c.doc_id, struct_pack(a := abs(quota - reached - size), b := rank)) AS closing
+  FROM cut c JOIN reached r ON c.source IS NOT DISTINCT FROM r.source
+  WHERE NOT inside AND abs(quota - reached - size) < abs(quota - reached) GROUP BY c.source),
+picked AS (
+  SELECT d.doc_id, d.size, d.source_size, d.target,
+         d.certain + (CASE WHEN coalesce(c.inside, false) OR coalesce(d.doc_id = e.closing, false) THEN 1 ELSE 0 END) AS copies
+  FROM ranked d LEFT JOIN cut c ON c.doc_id = d.doc_id LEFT JOIN closing e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken FROM picked""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(documents(spark, folder))

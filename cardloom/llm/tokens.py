@@ -119,3 +119,17 @@ class ChunkEncoder:
         known = self.known
         return [(self._fresh([t])[0] if t else b"") if c is None else b"".join([known[x] for x in c])
                 for t, c in zip(texts, chunks)]
+
+
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder(path: str):
+    """The ``encode`` of this worker's encoder for a vocabulary file, loaded once per worker.
+
+    A file given by a path of the driver's machine is looked up by its name where the worker's installation differs.
+    """
+    if path not in _ENCODERS:
+        found = path if os.path.exists(path) else vocabulary(os.path.basename(path))
+        _ENCODERS[path] = ChunkEncoder(found)
+    return _ENCODERS[path].encode
