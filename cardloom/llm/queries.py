@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, token_counts
+from . import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, token_counts, token_files
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,40 @@ picked AS (
 SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken FROM picked""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(documents(spark, folder))
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.written_and_read(documents(spark, folder))
+
+
+@query("op4_ngram_jaccard_join", """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.least, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON r.x = d.doc_id""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.components(documents(spark, folder))
+
+
+@query("op2_document_fingerprints")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_and_next(documents(spark, folder))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identified(documents(spark, folder))
