@@ -32,8 +32,8 @@ from .common import whole
 PER_LANGUAGE, WINDOWS, WINDOW = 500, 3, 1000
 #: Embedding rows, their width, and the subword lengths in bytes.
 BUCKETS, WIDTH, ORDERS = 1 << 16, 12, (2, 3, 4)
-#: Passes over the windows, windows per step, and the first step width.
-PASSES, BATCH, RATE = 6, 32, 20.0
+#: Passes over the windows and steps at least, windows per step, and the first step width.
+PASSES, STEPS, BATCH, RATE = 6, 1200, 32, 30.0
 #: Share of the documents set apart, and the largest share of right predictions among them that may be rejected.
 APART, REJECTED = 0.2, 0.001
 #: Bytes scored at a time.
@@ -108,12 +108,14 @@ def train(texts: list[str], languages: list[str], owners: list[str], seed: int =
     layer, bias = np.zeros((WIDTH, len(names))), np.zeros(len(names))
     usable = np.array([len(b[0]) > 0 for b in bags])
     learn = np.flatnonzero(~held & usable)
-    steps, step = PASSES * -(-len(learn) // BATCH), 0
-    for _ in range(PASSES):
-        for part in np.array_split(draw.permutation(learn), max(1, -(-len(learn) // BATCH))):
+    per_pass = max(1, -(-len(learn) // BATCH))
+    passes = max(PASSES, -(-STEPS // per_pass))
+    steps, step = passes * per_pass, 0
+    for _ in range(passes):
+        for part in np.array_split(draw.permutation(learn), per_pass):
             if not len(part):
                 continue
-            rate = RATE * (1 - step / max(steps, 1)) / len(part)
+            rate = RATE * (1 - step / steps) / len(part)
             step += 1
             rows = np.concatenate([bags[i][0] for i in part])
             share = np.concatenate([bags[i][1] / bags[i][1].sum() for i in part])
