@@ -44,7 +44,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
     ``truncated_total`` is the number of tokens left when every document is cut at ``length`` tokens.
     """
-    rows = histogram.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens"),
+    rows = stage(histogram).select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens"),
                             (-F.floor(F.col("length") / RANGE)).alias("range"), F.lit(0).alias("all"))
     sums = stage(rows.groupBy("all", "range").agg(F.sum("n_docs").alias("docs"), F.sum("tokens").alias("words")))
     sums = running_offsets(sums, ["all"], "range", "docs", "docs_above")
