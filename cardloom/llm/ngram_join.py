@@ -9,12 +9,12 @@ large group of near copies costs as many comparisons as it has documents.
 Documents without a common shingle are at distance 1 from each other whatever the pivots are, and no pivot document can
 tell them apart. The first split therefore takes as pivots single shingles, those rare in the corpus first. Partners at
 distance 0.2 at most share at least one of the first floor(0.2 n) + 1 of their n shingles in that order (each lacks at
-most 0.2 n of the other's), so a document goes to that many pivots, and documents that meet nowhere are done. Regions
-that share a document are put together; only their members' whole shingle sets are moved. From there on pivots are
-documents. With radius ``WIDE`` documents far from all pivots make a region of their own, again with its guests.
+most 0.2 n of the other's), so a document goes to those of them that others have; with less than 80% of its shingles
+shared it can have no partner. Regions that share a document are put together; only their members' whole shingle sets are
+moved. From there on pivots are documents. With radius ``WIDE`` documents far from all pivots make a region of their own,
+again with its guests.
 
-How rare a shingle is comes from a sketch of fixed size over all documents. It sets an order and nothing else: any order
-gives the same links.
+How many documents have a shingle is counted in buckets of bounded size, and told to the documents that have it.
 
 Defined results: words are runs of non-blank characters, A-Z in lower case. With fewer than five words the whole sequence
 is the one shingle. A text that is null or has no words has no shingles and no links. Documents with equal sets are one
@@ -37,8 +37,8 @@ from .components import connected
 WORDS = 5
 #: Least similarity in hundredths.
 PERCENT = 80
-#: Counters of the sketch of shingle frequencies, and slots of the bitmap of region members.
-COUNTERS, SLOTS = 1 << 20, 1 << 22
+#: Shingles of a chunk of documents, of a bucket that counts them, and slots of the bitmap of region members.
+CHUNK_SHINGLES, BUCKET, SLOTS = 1 << 20, 1 << 22, 1 << 22
 #: Documents and shingles that a region may hold before it is split.
 LEAF, LEAF_SHINGLES = 600, 1 << 22
 #: Pivots per split, and splits in a row before blocks take over.
@@ -201,25 +201,115 @@ def _slices(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield k >> 14, part.astype("<u4").tobytes()
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """Per counter, how often shingles of all documents fall on it, on a scale of quarter powers of two."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            held = []
-            for _, shingles in _sets(batch):
-                held.append(shingles)
-                if len(held) == 1000:
-                    total += np.bincount(np.concatenate(held) % np.uint64(COUNTERS), minlength=COUNTERS)
-                    held = []
-            if held:
-                total += np.bincount(np.concatenate(held) % np.uint64(COUNTERS), minlength=COUNTERS)
-        rows = list(_slices(total))
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([r[0] for r in rows], pa.int32()),
-                                          "counts": pa.array([r[1] for r in rows], pa.binary())})
+# --- which shingles are shared ----------------------------------------------------------------------------------------
+
+SENT = ("bucket int, chunk long, code binary, owner binary, many binary, doc_ids array<bigint>, sizes array<bigint>, ones array<bigint>, "
+        "twos array<bigint>")
+_SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("code", pa.binary()), ("owner", pa.binary()), ("many", pa.binary()),
+                   *[(c, pa.list_(pa.int64())) for c in ("doc_ids", "sizes", "ones", "twos")]])
+
 
-    total = _counters(texts.select("text").mapInArrow(count, "slice int, counts binary"), COUNTERS)
-    return np.floor(4 * np.log2(total + 1.0)).astype(np.uint8)
+def _send(chunk: int, ids: list, sets: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A chunk of documents as rows: its distinct shingles by bucket, each with one document that has it and how many have it;
+    and, under a bucket below zero, the documents and where those shingles stand that several of them have.
+
+    Within a bucket a shingle is told by 32 bits; two that fall together count as shared, which costs work and no link.
+    """
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
+    code = (flat >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | flat & np.uint64(0xFFFFFFFF)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(code), 1), bool), code[1:] != code[:-1]]))
+    many = np.diff(np.append(first, len(code)))
+    twice = np.repeat(many > 1, many)
+    edges = np.searchsorted(code[first] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+    keys = [_class_key(x) for x in sets]
+    rows = [(-1 - chunk % buckets, chunk, code[twice].tobytes(), owner[twice].tobytes(), None, ids, [len(x) for x in sets],
+             [k[0] for k in keys], [k[1] for k in keys])]
+    for b in np.flatnonzero(np.diff(edges)):
+        own = first[edges[b]:edges[b + 1]]
+        rows.append((int(b), chunk, (code[own] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), owner[own].astype("<u2").tobytes(),
+                     np.minimum(many[edges[b]:edges[b + 1]], 255).astype(np.uint8).tobytes(), None, None, None, None))
+    return pa.RecordBatch.from_pydict(dict(zip(_SENT.names, map(list, zip(*rows)))), schema=_SENT)
+
+
+def shared_shingles(texts: DataFrame) -> DataFrame:
+    """Per chunk of documents the rows of ``SENT``: its documents, and of its shingles those that other documents have as well.
+
+    A chunk sends each distinct shingle once, so that a shingle of very many documents arrives once per chunk. What comes
+    back has in ``many`` how many documents have it.
+    """
+    spark = texts.sparkSession
+    characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = int(max(characters // (6 * BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk, ids, sets, size = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            names = batch.column("doc_id").to_pylist()
+            for row, shingles in _sets(batch):
+                ids.append(names[row])
+                sets.append(shingles)
+                size += len(shingles)
+                if size >= CHUNK_SHINGLES or len(sets) == 1 << 16:
+                    yield _send(chunk, ids, sets, buckets)
+                    chunk, ids, sets, size = chunk + 1, [], [], 0
+        if sets:
+            yield _send(chunk, ids, sets, buckets)
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(rows["bucket"].iloc[0])
+        if bucket < 0:
+            return rows
+        codes = [np.frombuffer(x, "<u4") for x in rows["code"]]
+        flat = np.concatenate(codes)
+        many = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["many"]]).astype(np.int64)
+        order = np.argsort(flat, kind="stable")
+        new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
+        total = np.empty(len(flat), np.int64)
+        total[order] = np.add.reduceat(many[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        out, at = [], 0
+        for chunk, own, owner in zip(rows["chunk"], codes, rows["owner"]):
+            count = total[at:at + len(own)]
+            at += len(own)
+            kept = count > 1
+            if kept.any():
+                code = own[kept].astype(np.uint64) | np.uint64(bucket << 32)
+                out.append((bucket, chunk, code.tobytes(), np.frombuffer(owner, "<u2")[kept].tobytes(),
+                            np.minimum(count[kept], 65535).astype("<u2").tobytes(), None, None, None, None))
+        return pd.DataFrame(out, columns=list(rows.columns))
+
+    return texts.mapInArrow(send, SENT).groupBy("bucket").applyInPandas(answer, SENT)
+
+
+def rare_heads(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Of one chunk, per document that may have a partner: one, and the pivots it goes to.
+
+    At least ``percent`` hundredths of its shingles must be shared. The rarest come first, those of this document alone
+    before all; of the first (1 - percent / 100) n + 1, the shared ones are the pivots.
+    """
+    meta = rows[rows["bucket"] < 0].iloc[0]
+    rest = rows[rows["bucket"] >= 0]
+    code = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in rest["code"]]])
+    owner = np.concatenate([np.zeros(0, np.uint16), *[np.frombuffer(x, np.uint16) for x in rest["owner"]]])
+    many = np.concatenate([np.zeros(0, np.uint16), *[np.frombuffer(x, np.uint16) for x in rest["many"]]])
+    order = np.argsort(code)
+    code, owner, many = code[order], owner[order], many[order]
+    twice, holders = np.frombuffer(meta["code"], np.uint64), np.frombuffer(meta["owner"], np.uint16)
+    once = ~np.isin(code, twice)
+    code, owner, many = (np.concatenate([code[once], twice]), np.concatenate([owner[once], holders]),
+                         np.concatenate([many[once], many[np.searchsorted(code, twice)] if len(twice) else many[:0]]))
+    order = np.lexsort((code, many, owner))
+    code, owner = code[order], owner[order]
+    sizes = np.asarray(meta["sizes"], np.int64)
+    marks = np.searchsorted(owner, np.arange(len(sizes) + 1))
+    shared, least = np.diff(marks), (percent * sizes + 99) // 100
+    own = np.flatnonzero((sizes > 0) & (shared >= least))
+    pivots = [code[marks[i]:marks[i] + shared[i] - least[i] + 1].view(np.int64) for i in own]
+    return pd.DataFrame({"one": np.asarray(meta["ones"], np.int64)[own], "pivots": pd.Series(pivots, dtype=object)})
 
 
 # --- joining within a region ----------------------------------------------------------------------------------------
@@ -403,25 +493,14 @@ def linking_edges(members: DataFrame, percent: int = PERCENT, rounds: int = ROUN
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
-    rank = rarity(texts)
+    answers = stage(shared_shingles(texts))
+    rows = answers.filter("bucket < 0").select(F.explode(F.arrays_zip("doc_ids", "sizes", "ones", "twos")).alias("x")).select(
+        F.col("x.doc_ids").alias("doc_id"), F.col("x.sizes").alias("n_shingles"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sizes, heads = [], [], []
-            for _, shingles in _sets(batch):
-                n = len(shingles)
-                kept = n - (percent * n + 99) // 100 + 1 if n else 0
-                place = rank[shingles % np.uint64(COUNTERS)].astype(np.uint64) << np.uint64(56) | shingles >> np.uint64(8)
-                heads.append(np.sort(place)[:kept])
-                keys.append(_class_key(shingles))
-                sizes.append(n)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
-                "one": pa.array([k[0] for k in keys], pa.int64()), "two": pa.array([k[1] for k in keys], pa.int64()),
-                "heads": _lists(heads)})
-
-    rows = stage(texts.mapInArrow(describe, "doc_id long, n_shingles long, one long, two long, heads array<bigint>"))
-    meets = rows.select("one", F.explode("heads").alias("pivot"))
+    def heads(chunk: pd.DataFrame) -> pd.DataFrame:
+        return rare_heads(chunk, percent)
+
+    meets = stage(answers.groupBy("chunk").applyInPandas(heads, "one long, pivots array<bigint>")).select("one", F.explode("pivots").alias("pivot"))
     shared = meets.groupBy("pivot").agg(F.min("one").alias("least"), F.max("one").alias("most")).filter("least <> most")
     bonds = meets.join(shared.select("pivot", "least").hint("shuffle_hash"), "pivot").filter("one <> least").select("one", "least")
     regions = connected(bonds.distinct(), "one", "least")

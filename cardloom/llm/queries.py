@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprints, language_id, mixing, ngram_join, packing, token_counts, token_files
+from . import exact_dedup, fingerprints, language_id, licenses, mixing, ngram_join, packing, secrets, token_counts, token_files
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,46 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identified(documents(spark, folder))
+
+
+def _license_sql() -> str:
+    wordings = ", ".join("({}, '{}', '{}')".format(k, name, wording.replace("'", "''"))
+                         for k, (name, wording) in enumerate(licenses.TEMPLATES))
+    return f"""
+WITH templates AS (
+  SELECT template, license, list_filter(string_split(regexp_replace(lower(wording), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+  FROM (VALUES {wordings}) AS t(template, license, wording)),
+template_grams AS (
+  SELECT DISTINCT template, license, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM templates),
+template_sizes AS (SELECT template, license, count(*) AS m FROM template_grams GROUP BY template, license),
+texts AS (
+  SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS text FROM documents),
+lines AS (
+  SELECT doc_id, 'line' AS part, unnest(range(len(string_split(text, chr(10))))) AS position, unnest(string_split(text, chr(10))) AS words FROM texts),
+blocks AS (
+  SELECT doc_id, 'paragraph' AS part, unnest(range(len(regexp_split_to_array(text, '\\n[ \\n]*\\n')))) AS position,
+         unnest(regexp_split_to_array(text, '\\n[ \\n]*\\n')) AS words FROM texts),
+parts AS (
+  SELECT * FROM lines UNION ALL SELECT * FROM blocks WHERE contains(trim(words, ' ' || chr(10)), chr(10))),
+worded AS (
+  SELECT doc_id, part, position, list_filter(string_split(replace(words, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM parts),
+grams AS (
+  SELECT DISTINCT doc_id, part, position, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM worded),
+sizes AS (SELECT doc_id, part, position, count(*) AS n FROM grams GROUP BY ALL),
+shared AS (
+  SELECT doc_id, part, position, template, license, count(*) AS c FROM grams JOIN template_grams USING (gram) GROUP BY ALL),
+scored AS (
+  SELECT doc_id, part, position, s.template, s.license, 2 * c / (n + m) AS dice
+  FROM shared s JOIN sizes USING (doc_id, part, position) JOIN template_sizes t ON t.template = s.template)
+SELECT doc_id, part, position::INT AS position, license, dice FROM scored WHERE dice >= {licenses.LEAST}
+QUALIFY row_number() OVER (PARTITION BY doc_id, part, position ORDER BY dice DESC, license, template) = 1"""
+
+
+@query("op1_license_scan", _license_sql())
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder))
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(documents(spark, folder))

@@ -17,6 +17,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,9 @@ from .tokens import encoder, vocabulary
 
 END = 1
 #: Most bits of a code; one table of 2 ** LIMIT entries decodes. 25 at most, raised by itself for larger vocabularies.
-LIMIT = 18
+LIMIT = 16
 #: Ids in a block, and ids between two of its bit offsets.
-BLOCK, STEP = 1 << 18, 256
+BLOCK, STEP = 1 << 19, 256
 
 BLOCKS = ("part int, block int, first_id long, n_ids int, first_document long, doc_ids array<bigint>, n_tokens array<int>, "
           "continues boolean, goes_on boolean, bit_offsets binary, bits binary")
@@ -75,7 +76,7 @@ class Code:
         self.code = np.zeros(int(ids.max(initial=0)) + 1, np.uint64)
         self.bits = np.zeros(len(self.code), np.int64)
         self.code[ids], self.bits[ids] = starts >> (self.width - bits), bits
-        self.symbol, self.length = np.zeros(1 << self.width, np.uint32), np.ones(1 << self.width, np.int64)
+        self.symbol, self.length = np.zeros(1 << self.width, np.uint32), np.ones(1 << self.width, np.uint8)
         self.symbol[:spans.sum()], self.length[:spans.sum()] = np.repeat(ids, spans), np.repeat(bits, spans)
 
     def encode(self, ids: np.ndarray, step: int) -> tuple[bytes, bytes]:
@@ -133,12 +134,20 @@ def joined_checksum(first: int, second: int, n_bytes: int) -> int:
 
 # --- writing and reading ----------------------------------------------------------------------------------------------
 
+def width(path: str, end: int = END) -> str:
+    """H where all ids of the vocabulary take 16 bits, else I."""
+    from tokenizers import Tokenizer
+
+    return "H" if max(Tokenizer.from_file(path).get_vocab_size(), end + 1) <= 1 << 16 else "I"
+
+
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> DataFrame:
-    """Per row of ``docs``: doc_id, ids (little-endian unsigned 32-bit, the end id last)."""
-    last = np.array([end], "<u4").tobytes()
+    """Per row of ``docs``: doc_id, ids (little-endian, of the width that ``width`` tells, the end id last)."""
+    kind = width(path, end)
+    last = array(kind, [end]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode = encoder(path, kind)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at:at + 512]
@@ -148,13 +157,13 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         run, "doc_id long, ids binary")
 
 
-def id_counts(rows: DataFrame) -> DataFrame:
+def id_counts(rows: DataFrame, kind: str) -> DataFrame:
     """(id, count) over the ids of all rows; a task sends one row per id it has seen."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch["ids"]:
-                found = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
+                found = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
                 found[:len(total)] += total
                 total = found
         seen = np.flatnonzero(total)
@@ -167,8 +176,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
           end: int = END, limit: int = LIMIT, block: int = BLOCK, step: int = STEP) -> None:
     """Encode all texts and write their ids, in ascending order of document id, to ``folder``."""
     spark = docs.sparkSession
-    rows = stage(encoded(docs, path or vocabulary("word_bpe_49k.json"), id_col, text_col, end), "zstd")
-    counts = id_counts(rows).toPandas().sort_values("id")  # one row per vocabulary entry at most
+    path = path or vocabulary("word_bpe_49k.json")
+    kind = width(path, end)
+    rows = stage(encoded(docs, path, id_col, text_col, end), "zstd")
+    counts = id_counts(rows, kind).toPandas().sort_values("id")  # one row per vocabulary entry at most
     limit = max(limit, int(len(counts)).bit_length())
     bits = code_lengths(counts["count"].to_numpy(), limit)
     spark.createDataFrame(counts.assign(bits=bits.astype(np.int32)), "id long, count long, bits int").coalesce(1).write.parquet(
@@ -199,7 +210,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
             for doc, raw in zip(batch["doc_id"].astype(object), batch["ids"]):
-                own = np.frombuffer(raw, "<u4").astype(np.int64)
+                own = np.frombuffer(raw, kind).astype(np.int64)
                 held.append(own)
                 size += len(own)
                 ends.append(size)

@@ -33,103 +33,89 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class ChunkEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, without special tokens added."""
+class ChunkEncoder(dict):
+    """Ids of texts as little-endian bytes, 32 or (``kind`` H) 16 bits each, without special tokens added.
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    Maps a chunk to its ids. What is looked up and missing is found in the older generation or encoded.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED, kind: str = "I"):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.remembered = remembered
+        self.remembered, self.kind = remembered, kind
         kinds = str(self.tokenizer.pre_tokenizer) + str(self.tokenizer.normalizer)
-        self.lower, self.model = "Lowercase" in kinds, self.tokenizer.model
+        self.lower, self.merges = "Lowercase" in kinds, self.tokenizer.model.tokenize
         self.direct = "ByteLevel" in kinds and ("NFC" in kinds) == self.lower
-        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _fresh(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, chunk: str) -> bytes | None:
         """Ids of a chunk of letters straight from the library's merge model; None where its normalizer is needed."""
         space, word = chunk[0] == " ", chunk.lstrip(" ")
-        if not word.isalpha():
+        if not self.direct or not word.isalpha():
             return None
-        if self.lower:
-            space = False
-            if word.isascii():
-                word = word.lower()
-            else:
+        if word.isascii():
+            word = word.lower() if self.lower else SPACE + word if space else word
+        else:
+            if self.lower:
                 word = "".join([x.lower() for x in unicodedata.normalize("NFC", word)])
                 if not word.isalpha():
                     return None
-        if not word.isascii():
             word = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-        return array("I", [t.id for t in self.model.tokenize(SPACE + word if space else word)]).tobytes()
-
-    def _ids(self, parts: list[str]) -> dict[str, bytes]:
-        out, rest = {}, parts
-        if self.direct:
-            out = {c: self._word(c) for c in parts}
-            rest = [c for c, ids in out.items() if ids is None]
-        out.update(zip(rest, self._fresh(rest)))
-        return out
+            word = SPACE + word if space and not self.lower else word
+        return array(self.kind, [t.id for t in self.merges(word)]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            stem = chunk.rstrip(string.punctuation)
+            if len(stem) < len(chunk) and stem[-1:].isalpha():
+                ids = self[stem] + self[chunk[len(stem):]]
+            else:
+                ids = self._word(chunk) if chunk else b""
+                if ids is None:
+                    ids = self._fresh(chunk)
+        self[chunk] = ids
+        return ids
 
     @staticmethod
-    def _chunks(text: str) -> list[str]:
+    def chunks(text: str) -> list[str]:
         odd = ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\x00" in text
                or text[0].isspace() or text[-1].isspace() or _RARE_BLANK.search(text))
         if odd:
             return _EDGE.split(text)
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
 
-    def _learn(self, new: set[str]) -> None:
-        """Ids of chunks that are not known yet, in one call of the library."""
-        if len(self.known) > self.remembered:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        split = {}
-        for c in new:
-            stem = c.rstrip(string.punctuation)
-            if len(stem) < len(c) and stem[-1:].isalpha():
-                split[c] = (stem, c[len(stem):])
-        parts = new - split.keys()
-        parts.update(x for pair in split.values() for x in pair)
-        known.update((c, older[c]) for c in parts if c in older)
-        known.update(self._ids([c for c in parts if c not in known]))
-        known.update((c, known[stem] + known[tail]) for c, (stem, tail) in split.items())
+    def one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.added and self.added.search(text):
+            return self._fresh(text)
+        if len(self) > self.remembered:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.chunks(text)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Ids of each text; a few dozen texts are looked up at a time."""
-        texts, out = [t or "" for t in texts], []
-        for at in range(0, len(texts), 64):
-            out += self._encode(texts[at:at + 64])
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [self._chunks(t) if t and not (self.added and self.added.search(t)) else None for t in texts]
-        new = set().union(*(c for c in chunks if c)).difference(self.known)
-        if new:
-            if len(self.known) > self.remembered:
-                new = set().union(*(c for c in chunks if c))
-            self._learn(new)
-        known = self.known
-        return [(self._fresh([t])[0] if t else b"") if c is None else b"".join([known[x] for x in c])
-                for t, c in zip(texts, chunks)]
+        return [self.one(t) for t in texts]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
 
 
-def encoder(path: str):
+def encoder(path: str, kind: str = "I"):
     """The ``encode`` of this worker's encoder for a vocabulary file, loaded once per worker.
 
     A file given by a path of the driver's machine is looked up by its name where the worker's installation differs.
     """
-    if path not in _ENCODERS:
+    if (path, kind) not in _ENCODERS:
         found = path if os.path.exists(path) else vocabulary(os.path.basename(path))
-        _ENCODERS[path] = ChunkEncoder(found)
-    return _ENCODERS[path].encode
+        _ENCODERS[path, kind] = ChunkEncoder(found, kind=kind)
+    return _ENCODERS[path, kind].encode
