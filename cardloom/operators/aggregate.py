@@ -158,9 +158,14 @@ def count_per_distinct(df: DataFrame, key: str, counted: str, cols: Sequence[str
         div_inf(f"_n{seg}", f"_u{seg}{c}").alias(name(seg, c)) for seg in segments for c in cols])
 
 
-def latest(df: DataFrame, key: str, ts: str, values: Sequence[str] = ()) -> DataFrame:
-    """The latest timestamp per key, and other columns taken from that row."""
-    return df.groupBy(key).agg(F.max(ts).alias(ts), *[F.max_by(v, ts).alias(v) for v in values])
+def latest(df: DataFrame, key: str, order: str | Sequence[str], values: Sequence[str] = ()) -> DataFrame:
+    """The last row per key: its order columns and ``values``, all from one row.
+
+    Give a total order where rows may tie on the time; what is left of a tie goes to the largest values.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    row = F.max(F.struct(*order, *[v for v in values if v not in order])).alias("_row")
+    return df.groupBy(key).agg(row).select(key, *[F.col(f"_row.{c}").alias(c) for c in [*order, *[v for v in values if v not in order]]])
 
 
 def attach_reference(new: DataFrame, hist: DataFrame, key: str, ts: str, out: str = "reference_day") -> DataFrame:

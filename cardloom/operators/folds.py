@@ -29,6 +29,7 @@ def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int = 0, repeats: in
 
 
 def sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """Rows whose key falls into a fixed share of residues: stable across runs and engines."""
-    slot = F.pmod(F.col(key) * F.lit(7919) + F.lit(seed), F.lit(1000))
-    return df.filter(slot < int(round(fraction * 1000)))
+    """Rows whose key, of any type, is hashed below a share of the range: stable across runs and engines."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    slot = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
+    return df.filter(slot < int(fraction * (1 << 52)))

@@ -31,6 +31,12 @@ def tagged_union(tables: Mapping[str, DataFrame], tag: str = "split") -> DataFra
 
 
 def align(preds: Mapping[str, DataFrame], key: str = "card_id", pred: str = "pred") -> DataFrame:
-    """One column per model, matched by key and never by row position."""
+    """One column per model, matched by key and never by row position.
+
+    A key that one of the models has no prediction for stops the job: no card may fall out of a blend unseen.
+    """
     named = [d.select(key, F.col(pred).alias(name)) for name, d in preds.items()]
-    return reduce(lambda a, b: a.join(b, key), named)
+    whole = reduce(lambda a, b: a.join(b, key, "full"), named)
+    return whole.select(key, *[
+        F.coalesce(name, F.raise_error(F.concat(F.lit(f"no prediction of {name} for "), F.col(key).cast("string"))).cast("double"))
+        .alias(name) for name in preds])

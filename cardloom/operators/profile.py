@@ -88,11 +88,15 @@ def corr_long(features: DataFrame, labels: DataFrame, key: str, y: str) -> DataF
     stats = labels.agg(F.count(F.lit(1)).alias("n"), F.avg(dbl(y)).alias("m"), F.stddev_pop(dbl(y)).alias("s"))
     n, m, s = (stats.select(c).scalar() for c in ("n", "m", "s"))
     rows = features.join(labels.select(key, (dbl(y) - m).alias("_y")), key)
-    sums = rows.groupBy("feature").agg(F.sum("v").alias("_x"), F.sum(F.col("v") * F.col("v")).alias("_xx"),
-                                       F.sum(F.col("v") * F.col("_y")).alias("_xy"))
-    mean = F.col("_x") / n
-    spread = F.sqrt(F.greatest(F.col("_xx") / n - mean * mean, F.lit(0.0)))
-    return sums.select("feature", F.abs(F.try_divide(F.col("_xy") / n, spread * s)).alias("abs_corr"))
+    # moments about the means of the present rows; the absent ones, all 0 in the feature, are merged pairwise
+    present = rows.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("_k"), F.avg("v").alias("_x"), F.avg("_y").alias("_y"), F.var_pop("v").alias("_vx"),
+        F.covar_pop("v", "_y").alias("_c"))
+    share = F.col("_k") / n
+    variance = share * (F.col("_vx") + (1 - share) * F.col("_x") * F.col("_x"))
+    covariance = share * (F.col("_c") + F.col("_x") * F.col("_y"))
+    # the label is centred over all keys, so the absent rows' mean label is -_k _y / (n - _k)
+    return present.select("feature", F.abs(F.try_divide(covariance, F.sqrt(variance) * s)).alias("abs_corr"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

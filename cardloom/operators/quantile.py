@@ -31,12 +31,12 @@ def value_bucket(v: Column) -> Column:
 
 def rank_values(df: DataFrame, key: str | list[str], value: str,
                 ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """The value at a 0-based rank of each key's sorted non-NULL values.
+    """The value at a 0-based rank of each key's sorted values; NULL and NaN are missing.
 
     ``ranks`` maps an output column to a function of the group size.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    counted = (df.select(*keys, dbl(value).alias("_v")).filter(F.col("_v").isNotNull())
+    counted = (df.select(*keys, dbl(value).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
                .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
                .withColumn("_b", value_bucket(F.col("_v"))))
     buckets = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))

@@ -34,10 +34,11 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[
     across = Window.partitionBy(key).orderBy("_chunk")
     carry = last.select(key, "_chunk", *[
         F.lag(F.col("_last")[f"_v{i}"]).over(across).alias(f"_carry{i}") for i in range(len(cols))])
-    # NULL-safe keys would lose the hash join: chunk is never NULL for ordered rows
+    carry = carry.withColumnsRenamed({key: "_key", "_chunk": "_of"})
     marked = rows.select("*", F.row_number().over(inside).alias("_rn"),
                          *[F.lag(c).over(inside).alias(f"_lag{i}") for i, c in enumerate(cols)])
-    joined = marked.join(carry, [key, "_chunk"], "left")
+    # rows without a key or a time have a chunk of their own, which the join must find
+    joined = marked.join(carry, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_of")), "left")
     return joined.select(*df.columns, *[
         F.when(F.col("_rn") == 1, F.col(f"_carry{i}")).otherwise(F.col(f"_lag{i}")).alias(name(c))
         for i, c in enumerate(cols)])
@@ -45,15 +46,17 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
                   chunk: Column | None = None) -> DataFrame:
-    """0-based position of each row in its key's order."""
+    """0-based position of each row in its key's order; rows without a time come first, those without a key are one group."""
     keys = list(keys)
     rows = df.withColumn("_chunk", _chunk(order, chunk))
     sizes = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    of = offsets.withColumnsRenamed({k: f"_of_{k}" for k in [*keys, "_chunk"]})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_chunk"]]
     return (rows.withColumn("_rn", F.row_number().over(inside))
-            .join(offsets, [*keys, "_chunk"])
+            .join(of, same)
             .select(*df.columns, (F.col("_off") + F.col("_rn") - 1).alias(out)))
 
 

@@ -45,12 +45,13 @@ def prepare_cards(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFra
     return done["train"], done["test"]
 
 
-def prepare_merchants(merchants: DataFrame, order: Sequence[str] = ("merchant_id",)) -> DataFrame:
+def prepare_merchants(merchants: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Codes for text categories, -1 for missing categories, no infinities, means for missing numbers, one row per merchant.
 
-    ``order`` decides which of several rows of a merchant is kept.
+    ``order`` decides which of several rows of a merchant is kept; without one, all columns in turn.
     """
     have = merchants.columns
+    order = order or [c for c in ("merchant_id", *sorted(set(have) - {"merchant_id", *SHARED_WITH_TRANSACTIONS})) if c in have]
     df = ordinal_encode(merchants, *[c for c in MERCHANT_TEXT if c in have])
     df = _fill_minus_one(df, MERCHANT_CATEGORIES)
     df = replace_infinite(df, [c for c in MERCHANT_INFINITE if c in have])

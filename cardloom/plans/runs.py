@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import blend as bl, models as mo, text as tx
 from ..operators.clean import feature_names, finite_max, replace_infinite, restrict_to
-from ..operators.folds import assign_folds
+from ..operators.folds import assign_folds, sample
 from ..operators.joins import align
 from ..operators.select import TOP, select_by_correlation, top_names
 from ..operators.profile import corr_long
@@ -38,12 +38,17 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
 
 
 def run_baseline(cards: DataFrame, hist: DataFrame, new: DataFrame, merchants: DataFrame, order: Sequence[str], folder: str,
-                 top: int = TOP, forest: dict | None = None) -> DataFrame:
-    """Cross sums and card statistics, the most correlated features, a tuned forest, fold-averaged predictions."""
+                 top: int = TOP, forest: dict | None = None, grid: dict | None = None,
+                 merchant_order: Sequence[str] | None = None) -> DataFrame:
+    """Cross sums and card statistics, the most correlated features, a tuned forest, fold-averaged predictions.
+
+    A ``grid`` setting that asks for more features than were chosen raises. ``merchant_order`` decides which of several
+    rows of a merchant counts.
+    """
     train, test = _halves(cards)
     train, test = pp.prepare_cards(train, test)
     coded = train.unionByName(test)
-    ready = pp.prepare_merchants(merchants)
+    ready = pp.prepare_merchants(merchants, merchant_order)
     cross = ba.cross_features(pp.prepare_transactions(new, hist, ready, 1, order), cards)
     chosen = ba.select_cross_features(cross, train, k=top)
     stats = ba.card_statistics(pp.prepare_transactions(new, hist, ready, 2, order))
@@ -52,7 +57,10 @@ def run_baseline(cards: DataFrame, hist: DataFrame, new: DataFrame, merchants: D
     names = select_by_correlation(train.drop(SPLIT), k=top, sparse_limit=None)
     matrix = mo.assemble_matrix(train, names, KEY, LABEL)
     est = mo.forest(**(forest or {}))
-    grid = {"featureSubsetStrategy": [s for s in mo.FOREST_GRID["featureSubsetStrategy"] if s == "all" or int(s) <= len(names)]}
+    grid = mo.FOREST_GRID if grid is None else grid
+    wide = [s for s in grid["featureSubsetStrategy"] if s.isdigit() and int(s) > len(names)]
+    if wide:
+        raise ValueError(f"{len(names)} features were chosen; the grid asks for {', '.join(wide)}")
     _, best, _ = mo.grid_search(est, grid, matrix)
     fitted = mo.oof_fit_predict(matrix, mo.assemble_matrix(test, names, KEY), est.copy({est.getParam(n): v for n, v in best.items()}), seed=22)
     save_predictions(fitted, "randomforest", "all", folder)
@@ -106,10 +114,11 @@ def id_term_weights(cards: DataFrame, transactions: DataFrame, order: Sequence[s
 
 
 def run_id_vectors(cards: DataFrame, transactions: DataFrame, dense: DataFrame, order: Sequence[str], folder: str, top: int = TOP,
-                   draws: int = 26, rounds: int = 100, folds: int = 5) -> DataFrame:
+                   draws: int = 26, rounds: int = 100, folds: int = 5, search_share: float = 0.1) -> DataFrame:
     """ID documents as terms, the most correlated terms beside the dense features, a searched booster.
 
-    Terms are chosen on the long form; only the chosen ones become vector entries.
+    Terms are chosen on the long form; only the chosen ones become vector entries. The search fits ``search_share`` of
+    the training cards.
     """
     counts, weights = id_term_weights(cards, transactions, order)
     dense = cut(dense)
@@ -123,8 +132,8 @@ def run_id_vectors(cards: DataFrame, transactions: DataFrame, dense: DataFrame,
     feats = feature_names(train, (KEY, LABEL, SPLIT, "outliers"))
     matrix = mo.assemble_matrix(train, feats, KEY, LABEL)
     searched = mo.boosted_regressor("second", rounds, early_stop=False)
-    sampled = matrix.filter(F.pmod(F.xxhash64(KEY, F.lit(2020)), F.lit(10)) == 0)
+    sampled = sample(matrix, KEY, search_share, 2020)
     _, best, _ = mo.random_search(searched, mo.SEARCH_SPACES["second"], draws, sampled)
     fitted = mo.oof_fit_predict(matrix, mo.assemble_matrix(test, feats, KEY), mo.boosted_regressor("second", rounds, **best), seed=2020, k=folds)
-    save_predictions(fitted, "xgboost", "all", folder)
+    save_predictions(fitted, "second", "all", folder)
     return to_submission(test, fitted.test)

@@ -122,9 +122,7 @@ SELECT card_id, max(purchase_date) AS purchase_date,
        max(purchase_amount ORDER BY purchase_amount) AS top_amount
 FROM (SELECT *, max(purchase_date) OVER (PARTITION BY card_id) AS m FROM txn) WHERE purchase_date = m GROUP BY card_id""")
 def _(t):
-    top = F.struct("purchase_date", "purchase_amount")
-    return t.txn.groupBy("card_id").agg(F.max("purchase_date").alias("purchase_date"),
-                                        F.max(top)["purchase_amount"].alias("top_amount"))
+    return ag.latest(t.txn, "card_id", ["purchase_date", "purchase_amount"]).withColumnRenamed("purchase_amount", "top_amount")
 
 
 def _two_level_sql(level, value, inner, name):

@@ -300,7 +300,8 @@ def _(t):
     return folds.groupBy("repeat", "fold").agg(F.count(F.lit(1)).alias("cards"))
 
 
-@query("m14_row_sample", "SELECT card_id FROM cards WHERE (card_id * 7919 + 48) % 1000 < 100")
+@query("m14_row_sample", f"""
+SELECT card_id FROM cards WHERE ('0x' || substr(md5(card_id::VARCHAR || ':48'), 1, 13))::BIGINT < {int(0.1 * (1 << 52))}""")
 def _(t):
     return fo.sample(t.cards.select("card_id"), "card_id", 0.1, 48)
 
