@@ -3,7 +3,7 @@
 Targets are set per source in words. A document of a source that is to be taken r times in the mean gets floor(r) whole
 copies for certain; what is left, r - floor(r), is its inclusion probability p in a sample without replacement. Each
 document draws a u between 0 and 1 and is ranked by its odds u / (1 - u) over the inclusion odds p / (1 - p); the sample
-is the head of that order, its size fixed in words: it is cut where the words taken come nearest to what the target
+is the head of that order, its size fixed in words: it ends before the first document that would exceed what the target
 leaves, and then the one document outside whose size fits the remaining gap best is added if that brings it nearer.
 
 Nothing is ordered whole: the ranks of a source fall into slots, the slots' word sums tell the slot that holds the cut,
@@ -101,7 +101,7 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = Window.partitionBy("source").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = F.sum("words").over(order) + F.col("before")
     last = (inside.withColumn("upto", upto)
-            .filter(F.col("upto") - F.col("quota") <= F.col("quota") - (F.col("upto") - F.col("words")))
+            .filter(F.col("upto") <= F.col("quota"))
             .groupBy(F.col("source").alias("last_source")).agg(F.max(F.struct("_place", "upto")).alias("last")))
     cuts = stage(slots.join(last, F.col("source").eqNullSafe(F.col("last_source")), "left").select(
         "source", F.col("last._place").alias("_last"), "cut_slot", F.coalesce("last.upto", "before").alias("reached")))

@@ -67,7 +67,7 @@ ranked AS (
 ordered AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id::VARCHAR, size) AS upto FROM ranked WHERE rank IS NOT NULL),
 cut AS (
-  SELECT *, upto - quota <= quota - (upto - size) AS inside FROM ordered),
+  SELECT *, upto <= quota AS inside FROM ordered),
 reached AS (
   SELECT source, coalesce(sum(size) FILTER (inside), 0) AS reached FROM cut GROUP BY source),
 closing AS (
