@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _ranked(slim: DataFrame) -> DataFrame:
-    """(key, sha, n_chars, copies) with rank from 0 in descending order of id, and n_before, the length of the row before."""
+    """(key, sha, n_chars) with rank from 0 in descending order of id, and n_before, the length of the row before."""
     order = (F.col("doc_id").desc_nulls_last(), F.col("sha").desc())
     parts = stage(slim.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).withColumn("all", F.lit(0)))
     before = running_offsets(parts.groupBy("all", "part").agg(F.count("*").alias("n")), ["all"], "part", "n", "before")
@@ -120,27 +120,22 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).alias("doc_id"), whole(F.col(text_col)).alias("text")).withColumns({
         "key": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "sha": F.unhex(F.sha2("text", 256)),
         "n_chars": F.length("text").cast("long")})
-    slim = base.groupBy("key", "doc_id", "sha", "n_chars").agg(F.count("*").alias("copies"))
-    places = _ranked(slim)
+    places = _ranked(base.select("key", "doc_id", "sha", "n_chars").distinct())
     half = F.floor(F.col("n_chars") / 2).cast("int")
     # what is left of the text, or what the row before takes from it
     head = F.left(F.col("text"), F.greatest(F.col("n_chars") - half, F.floor(F.col("n_before") / 2)).cast("int"))
     placed = base.drop("n_chars").withColumn("bits", bits).withColumn("hashes", fingerprint(F.col("text"), F.col("bits"))).drop("bits").join(places, ["key", "sha"]).select(
-        "doc_id", "rank", "total", "copies", "n_chars", "hashes", head.alias("head"))
-    placed = placed.filter("copies = 1").unionByName(placed.filter("copies > 1").dropDuplicates(["rank"]))
-    # the first row of a group is also the last of the group before it; the first of all follows the last
+        "doc_id", "rank", "total", "n_chars", "hashes", head.alias("head"))
+    # the first row of a group is also the last of the group before it; the first of all follows the last;
+    # repeated rows share a rank, so that all but the last of them are followed by a copy
     at = F.floor(F.col("rank") / group)
     again = F.when(F.col("rank") == 0, F.struct(F.floor((F.col("total") - 1) / group).alias("group"), F.col("total").alias("place"))).when(
         F.col("rank") % group == 0, F.struct((at - 1).alias("group"), F.col("rank").alias("place")))
     spread = placed.withColumn("to", F.explode(F.array_compact(F.array(F.struct(at.alias("group"), F.col("rank").alias("place")), again))))
     window = Window.partitionBy("to.group").orderBy("to.place")
     paired = spread.withColumns({"next_head": F.lead("head").over(window), "next_hashes": F.lead("hashes").over(window)}).filter((F.col("to.place") == F.col("rank")) & (F.col("to.group") == at))
-    each = paired.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    last = F.col("copy") == F.col("copies")
-    each = each.withColumns({"next_head": F.when(last, F.col("next_head")).otherwise(F.col("head")),
-                             "next_hashes": F.when(last, F.col("next_hashes")).otherwise(F.col("hashes"))})
     edited = F.concat(F.left(F.col("head"), (F.col("n_chars") - half).cast("int")), F.left(F.col("next_head"), half))
-    out = each.select("doc_id", "n_chars", "hashes", "next_hashes", edited.alias("edited"), bits.alias("bits"))
+    out = paired.select("doc_id", "n_chars", "hashes", "next_hashes", edited.alias("edited"), bits.alias("bits"))
     out = out.withColumn("edited_hashes", fingerprint(F.col("edited"), F.col("bits")))
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("hashes")).alias("fingerprint"),
                       written(F.col("edited_hashes")).alias("edited_fingerprint"),
