@@ -16,7 +16,7 @@ from array import array
 from collections.abc import Iterable
 
 #: Chunks in each of the two generations that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 
 _EDGE = re.compile(r"(?<=\S)(?= \S)")
 _RARE_BLANK = re.compile(r"[^\S \n]")
@@ -58,8 +58,9 @@ class ChunkEncoder(dict):
 
     def _word(self, chunk: str) -> bytes | None:
         """Ids of a chunk of letters straight from the library's merge model; None where its normalizer is needed."""
-        space, word = chunk[0] == " ", chunk.lstrip(" ")
-        if not self.direct or not word.isalpha():
+        space = chunk[0] == " "
+        word = chunk[1:] if space else chunk
+        if not (word.isalpha() and self.direct):
             return None
         if word.isascii():
             word = word.lower() if self.lower else SPACE + word if space else word
@@ -74,14 +75,14 @@ class ChunkEncoder(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
+        if ids is None:
+            ids = self._word(chunk) if chunk else b""
         if ids is None:
             stem = chunk.rstrip(string.punctuation)
             if len(stem) < len(chunk) and stem[-1:].isalpha():
                 ids = self[stem] + self[chunk[len(stem):]]
             else:
-                ids = self._word(chunk) if chunk else b""
-                if ids is None:
-                    ids = self._fresh(chunk)
+                ids = self._fresh(chunk)
         self[chunk] = ids
         return ids
 
