@@ -40,9 +40,9 @@ PERCENT = 80
 #: Shingles of a chunk of documents, of a bucket that counts them, and slots of the bitmap of region members.
 CHUNK_SHINGLES, BUCKET, SLOTS = 1 << 20, 1 << 22, 1 << 22
 #: Documents and shingles that a region may hold before it is split.
-LEAF, LEAF_SHINGLES = 600, 1 << 22
-#: Pivots per split, and splits in a row before blocks take over.
-PIVOTS, ROUNDS = 64, 8
+LEAF, LEAF_SHINGLES = 1000, 1 << 22
+#: Pivots per split, splits in a row, and how far a split may multiply its documents before blocks take over.
+PIVOTS, ROUNDS, GROWTH = 64, 8, 2
 #: Distance from a pivot up to which a region keeps documents at home.
 WIDE = 0.5
 #: Documents of one region that a task compares with its pivots at a time.
@@ -176,37 +176,38 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(marks), pa.array(flat.view(np.int64)))
 
 
-# --- counters of fixed size -----------------------------------------------------------------------------------------
+# --- a bitmap of fixed size ---------------------------------------------------------------------------------------------
 
-def _counters(slices: DataFrame, size: int) -> np.ndarray:
-    """Sum counters that tasks send in slices of 2 ** 14; ``size`` numbers reach the driver."""
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
+def _bitmap(rows: DataFrame) -> np.ndarray:
+    """Which of ``SLOTS`` slots the numbers in column ``node`` fall on; SLOTS / 8 bytes reach the driver."""
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(SLOTS, bool)
         for batch in batches:
-            for k, raw in zip(batch["slice"], batch["counts"]):
-                counts = np.frombuffer(raw, "<u4").astype(np.uint64)
-                total[k] = total[k] + counts if k in total else counts
-        yield pd.DataFrame({"slice": list(total), "counts": [x.tobytes() for x in total.values()]})
-
-    out = np.zeros(size, np.uint64)
-    for r in slices.repartition("slice").mapInPandas(add, "slice int, counts binary").toLocalIterator():
-        out[r["slice"] << 14:(r["slice"] + 1) << 14] += np.frombuffer(r["counts"], np.uint64)
-    return out
+            seen[batch["node"].to_numpy() % SLOTS] = True
+        bits = np.packbits(seen).reshape(64, -1)
+        kept = np.flatnonzero(bits.any(1))
+        yield pd.DataFrame({"slice": kept, "bits": [bits[k].tobytes() for k in kept]})
 
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch["slice"], batch["bits"]):
+                bits = np.frombuffer(raw, np.uint8)
+                total[k] = total[k] | bits if k in total else bits
+        yield pd.DataFrame({"slice": list(total), "bits": [x.tobytes() for x in total.values()]})
 
-def _slices(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    for k in range(0, len(counts), 1 << 14):
-        part = counts[k:k + (1 << 14)]
-        if part.any():
-            yield k >> 14, part.astype("<u4").tobytes()
+    out = np.zeros((64, SLOTS // 512), np.uint8)
+    for r in rows.mapInPandas(mark, "slice int, bits binary").repartition("slice").mapInPandas(merge, "slice int, bits binary").collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return np.unpackbits(out.reshape(-1)).astype(bool)
 
 
 # --- which shingles are shared ----------------------------------------------------------------------------------------
 
-SENT = ("bucket int, chunk long, code binary, owner binary, many binary, doc_ids array<bigint>, sizes array<bigint>, ones array<bigint>, "
+SENT = ("bucket int, chunk long, code binary, owner binary, many binary, doc_ids array<string>, sizes array<bigint>, ones array<bigint>, "
         "twos array<bigint>")
 _SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("code", pa.binary()), ("owner", pa.binary()), ("many", pa.binary()),
-                   *[(c, pa.list_(pa.int64())) for c in ("doc_ids", "sizes", "ones", "twos")]])
+                   ("doc_ids", pa.list_(pa.string())), *[(c, pa.list_(pa.int64())) for c in ("sizes", "ones", "twos")]])
 
 
 def _send(chunk: int, ids: list, sets: list[np.ndarray], buckets: int) -> pa.RecordBatch:
@@ -249,7 +250,7 @@ def shared_shingles(texts: DataFrame) -> DataFrame:
 
         chunk, ids, sets, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
+            names = batch.column("doc_id").cast(pa.string()).to_pylist()
             for row, shingles in _sets(batch):
                 ids.append(names[row])
                 sets.append(shingles)
@@ -367,8 +368,9 @@ def _join_leaf(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"key": keys[moved], "other": keys[group[moved]]})
 
 
-def _split(members: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """One round over regions that are too large: edges found, and the members of the regions that come of them.
+def _split(members: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round over regions that are too large: edges found, the members of the regions that come of them, and the members
+    of regions whose documents lie so evenly that the windows would put most of them everywhere (``GROWTH``).
 
     Every document is compared with the pivots of its region, which settles the pivots. Cells whose pivots are connected
     make one region; in it, the documents linked with its pivots are connected already ("settled").
@@ -433,25 +435,41 @@ def _split(members: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFram
     # a cell reaches as far as the farthest document at home in it
     radius = stage(rows.filter("home").groupBy("region", F.col("cells")[0].alias("cell")).agg(F.max(F.col("gaps")[0]).alias("radius")))
     linked = rows.filter("not is_pivot").join(own_group, ["region", "link"], "left").drop("link", "is_pivot")
-    placed = linked.select("region", "key", "home", "shingles", "own", "last", F.posexplode(F.arrays_zip("cells", "gaps"))
+    inside = (F.col("cell") < 0) | (F.col("gap") <= F.col("radius") + reach)
+    cells = linked.select("region", F.explode(F.arrays_zip("cells", "gaps")).alias("to")).select(
+        "region", F.col("to.cells").alias("cell"), F.col("to.gaps").alias("gap"))
+    calm = stage(cells.join(radius, ["region", "cell"]).filter(inside).groupBy("region").agg(F.count("*").alias("after")).join(
+        sizes.select("region", "n"), "region").filter(F.col("after") <= GROWTH * F.col("n")).select("region"))
+    # the largest group of connected documents of a region that is left as it is
+    largest = linked.filter("own is not null").groupBy("region", "own").agg(F.count("*").alias("n")).groupBy("region").agg(
+        F.max(F.struct("n", "own"))["own"].alias("largest"))
+    stuck = linked.join(calm, "region", "left_anti").join(largest, "region", "left").select(
+        "region", "key", F.coalesce(F.col("own") == F.col("largest"), F.lit(False)).alias("settled"), "home", "shingles")
+    placed = linked.join(calm, "region").select("region", "key", "home", "shingles", "own", "last", F.posexplode(F.arrays_zip("cells", "gaps"))
                            .alias("rank", "to")).select("*", F.col("to.cells").alias("cell"), F.col("to.gaps").alias("gap"))
-    placed = placed.join(radius, ["region", "cell"]).filter((F.col("cell") < 0) | (F.col("gap") <= F.col("radius") + reach))
+    placed = placed.join(radius, ["region", "cell"]).filter(inside)
     # the far region's own group is that of the documents settled before
     grouped = placed.withColumn("number", F.when(F.col("cell") < 0, F.col("last")).otherwise(F.col("cell"))).join(groups, ["region", "number"])
     where = F.concat_ws("/", "region", F.when(F.col("cell") < 0, F.lit(-1)).otherwise(F.col("group")))
     return edges, (grouped.select(where.alias("region"), "key", F.coalesce(F.col("own") == F.col("group"), F.lit(False)).alias("settled"),
                                   (F.col("home") & (F.col("rank") == 0)).alias("home"), "shingles", "rank")
                    .withColumn("first", F.row_number().over(Window.partitionBy("region", "key").orderBy("rank"))).filter("first = 1")
-                   .drop("first", "rank"))
-
-
-def _in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Regions that pivots do not make smaller: every two blocks of such a region are a region."""
-    blocks = sizes.select("region", F.greatest(F.lit(2), F.ceil(2 * F.greatest(F.col("n") / LEAF, F.col("shingles") / LEAF_SHINGLES)))
-                          .alias("blocks"))
-    own = members.join(blocks, "region").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    other = own.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("own <> with")
-    return other.select(F.concat_ws("/", "region", F.least("own", "with"), F.greatest("own", "with")).alias("region"),
+                   .drop("first", "rank")), stuck
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Regions that pivots do not make smaller: every two blocks are a region, but for two of settled documents only."""
+    half = F.greatest(F.floor(F.least(F.lit(LEAF / 2), LEAF_SHINGLES / 2 * F.col("n") / F.col("shingles"))), F.lit(1))
+    blocks = members.groupBy("region").agg(
+        F.count("*").alias("n"), F.sum(F.size("shingles")).alias("shingles"), F.count_if("settled").alias("known")).filter(
+        "known < n").select("region", F.ceil(F.col("known") / half).alias("quiet"),
+                            F.greatest(F.ceil((F.col("n") - F.col("known")) / half), F.lit(2)).alias("open"))
+    draw = F.xxhash64("key")
+    own = members.join(stage(blocks), "region").withColumn(
+        "own", F.when(F.col("settled"), F.pmod(draw, F.greatest("quiet", F.lit(1)))).otherwise(F.col("quiet") + F.pmod(draw, "open")))
+    pairs = own.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quiet") + F.col("open") - 1))).filter(
+        (F.col("own") != F.col("with")) & ((F.col("own") >= F.col("quiet")) | (F.col("with") >= F.col("quiet"))))
+    return pairs.select(F.concat_ws("/", "region", F.least("own", "with"), F.greatest("own", "with")).alias("region"),
                         "key", "settled", "home", "shingles")
 
 
@@ -477,10 +495,11 @@ def linking_edges(members: DataFrame, percent: int = PERCENT, rounds: int = ROUN
             break
         rest = members.join(large.select("region"), "region")
         if at == rounds:
-            found.append(_in_blocks(rest, large).groupBy("region").applyInPandas(leaf, EDGE))
+            found.append(_in_blocks(rest).groupBy("region").applyInPandas(leaf, EDGE))
             break
-        edges, smaller = _split(rest, large, percent)
+        edges, smaller, stuck = _split(rest, large, percent)
         found.append(stage(edges))
+        found.append(_in_blocks(stuck).groupBy("region").applyInPandas(leaf, EDGE))
         members = stage(smaller)
     out = found[0]
     for more in found[1:]:
@@ -495,7 +514,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
     answers = stage(shared_shingles(texts))
     rows = answers.filter("bucket < 0").select(F.explode(F.arrays_zip("doc_ids", "sizes", "ones", "twos")).alias("x")).select(
-        F.col("x.doc_ids").alias("doc_id"), F.col("x.sizes").alias("n_shingles"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
+        F.col("x.doc_ids").cast("long").alias("doc_id"), F.col("x.sizes").alias("n_shingles"), F.col("x.ones").alias("one"), F.col("x.twos").alias("two"))
 
     def heads(chunk: pd.DataFrame) -> pd.DataFrame:
         return rare_heads(chunk, percent)
@@ -505,7 +524,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bonds = meets.join(shared.select("pivot", "least").hint("shuffle_hash"), "pivot").filter("one <> least").select("one", "least")
     regions = connected(bonds.distinct(), "one", "least")
 
-    slots = _counters(regions.select("node").mapInPandas(_mark, "slice int, counts binary"), SLOTS) > 0
+    slots = _bitmap(regions.select("node"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -534,14 +553,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
-def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(SLOTS, np.int64)
-    for batch in batches:
-        total[batch["node"].to_numpy() % SLOTS] = 1
-    rows = list(_slices(total))
-    yield pd.DataFrame({"slice": [r[0] for r in rows], "counts": [r[1] for r in rows]})
-
-
 def one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one row per component, that of the least id, with all its columns.
 

@@ -173,8 +173,8 @@ def test_ngram_join_edges(docs):
     assert Counter(map(tuple, got)) == want
 
 
-@pytest.mark.parametrize("leaf,pivots,rounds", [(2, 2, 3), (3, 4, 1), (2, 1, 0)])
-def test_ngram_join_by_pivots(spark, monkeypatch, leaf, pivots, rounds):
+@pytest.mark.parametrize("leaf,pivots,rounds,growth", [(2, 2, 3, 99), (3, 4, 1, 2), (2, 1, 0, 2), (2, 3, 3, 0)])
+def test_ngram_join_by_pivots(spark, monkeypatch, leaf, pivots, rounds, growth):
     draw = np.random.default_rng(leaf)
     texts = []
     for family in range(6):
@@ -184,7 +184,7 @@ def test_ngram_join_by_pivots(spark, monkeypatch, leaf, pivots, rounds):
             for k in draw.integers(0, 60, draw.integers(0, 4)):
                 own[k] = f"n{draw.integers(0, 1 << 30)}"
             texts.append(" ".join(own[:60 - draw.integers(0, 9)]) + " shared passage of many words that repeats")
-    for name, value in (("LEAF", leaf), ("PIVOTS", pivots), ("CHUNK", 4), ("CHUNK_SHINGLES", 500), ("BUCKET", 400)):
+    for name, value in (("LEAF", leaf), ("PIVOTS", pivots), ("GROWTH", growth), ("CHUNK", 4), ("CHUNK_SHINGLES", 500), ("BUCKET", 400)):
         monkeypatch.setattr(ngram_join, name, value)
     monkeypatch.setattr(ngram_join.linking_edges, "__defaults__", (80, rounds))
     got = ngram_join.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
