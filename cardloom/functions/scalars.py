@@ -25,6 +25,21 @@ DECAYS = {
 UNIT_DAYS = {"day": 1, "week": 7, "month": 30}
 
 
+def clamp(v: Column, low: float | None = None, high: float | None = None) -> Column:
+    """``v`` kept within the given ends; NULL stays NULL."""
+    out = v.cast("double")
+    if low is not None:
+        out = F.when(out < low, F.lit(float(low))).otherwise(out)
+    if high is not None:
+        out = F.when(out > high, F.lit(float(high))).otherwise(out)
+    return out
+
+
+def whole_number(v: Column) -> Column:
+    """The nearest whole number, half away from zero."""
+    return F.round(v).cast("int")
+
+
 def map_values(c: Column | str, mapping: Mapping) -> Column:
     """Literal lookup; a value outside the mapping becomes NULL."""
     c = col(c)

@@ -30,6 +30,11 @@ def tagged_union(tables: Mapping[str, DataFrame], tag: str = "split") -> DataFra
     return union_all(*[d.withColumn(tag, F.lit(name)) for name, d in tables.items()])
 
 
+def in_order_of(cards: DataFrame, preds: DataFrame, key: str) -> DataFrame:
+    """Predictions of any row order for the rows of ``cards``: matched by key, so that no order has to be kept or restored."""
+    return cards.select(key).join(preds, key, "left")
+
+
 def align(preds: Mapping[str, DataFrame], key: str = "card_id", pred: str = "pred") -> DataFrame:
     """One column per model, matched by key and never by row position.
 

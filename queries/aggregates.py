@@ -111,10 +111,9 @@ SELECT card_id,
             ELSE CAST(count(authorized_flag) AS DOUBLE) / count(DISTINCT category_3) END AS card_id_cnt_divide_category_3_nunique,
        CASE WHEN count(DISTINCT merchant_id) = 0 THEN CAST('Infinity' AS DOUBLE)
             ELSE CAST(count(authorized_flag) AS DOUBLE) / count(DISTINCT merchant_id) END AS card_id_cnt_divide_merchant_id_nunique
-FROM txn WHERE category_2 IS NULL GROUP BY card_id""")
+FROM txn GROUP BY card_id""")
 def _(t):
-    return ag.count_per_distinct(t.txn.filter("category_2 IS NULL"), "card_id", "authorized_flag",
-                                 ["category_3", "merchant_id"])
+    return ag.count_per_distinct(t.txn, "card_id", "authorized_flag", ["category_3", "merchant_id"])
 
 
 @query("a11_latest_row", """

@@ -1,10 +1,13 @@
 """Pivots, profiles, selection, text vectors, folds and blends."""
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from cardloom.functions import dates as d
+from cardloom.functions.scalars import clamp, whole_number
 from cardloom.operators import (blend as bl, clean as cl, folds as fo, pivot as pv, profile as pr, select as se, text as tx)
-from cardloom.operators.joins import align
+from cardloom.operators.joins import align, in_order_of
 from cardloom.operators.skew import keyed_join
 from cardloom.sources.fixtures import ROW_ORDER
 from cardloom.sources.tables import to_submission
@@ -145,27 +148,25 @@ def _(t):
 
 
 _CARD_MONTH = "coalesce(CAST(CAST(first_active_month AS DATE) AS VARCHAR), 'nan')"
-_J8 = {"feature_1": "CAST(feature_1 AS VARCHAR)", "feature_3": "CAST(feature_3 AS VARCHAR)"}
+_J8 = {"first_active_month": _CARD_MONTH, "feature_1": "CAST(feature_1 AS VARCHAR)", "feature_2": "CAST(feature_2 AS VARCHAR)",
+       "feature_3": "CAST(feature_3 AS VARCHAR)"}
 
 
 @query("j08_compare_distributions", " UNION ALL ".join(f"""
 SELECT '{n}' AS "column", {e} AS value, CAST(count(*) FILTER (split = 'train') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'train') AS train_ratio,
        CAST(count(*) FILTER (split = 'test') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'test') AS test_ratio FROM cards GROUP BY 2""" for n, e in _J8.items()))
 def _(t):
-    return pr.compare_distributions(t.cards.filter("split = 'train'"), t.cards.filter("split = 'test'"), list(_J8))
+    cards = t.cards.withColumn("first_active_month", F.to_date("first_active_month"))
+    return pr.compare_distributions(cards.filter("split = 'train'"), cards.filter("split = 'test'"), list(_J8))
 
 
-@query("j08_compare_joint_distributions", f"""
-SELECT 'first_active_month&feature_1' AS "column", {_CARD_MONTH} || '&' || feature_1 AS value, CAST(count(*) FILTER (split = 'train') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'train') AS train_ratio,
-       CAST(count(*) FILTER (split = 'test') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'test') AS test_ratio FROM cards GROUP BY 2
-UNION ALL SELECT 'first_active_month&feature_2', {_CARD_MONTH} || '&' || feature_2, CAST(count(*) FILTER (split = 'train') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'train'),
-       CAST(count(*) FILTER (split = 'test') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'test') FROM cards GROUP BY 2
-UNION ALL SELECT 'feature_1&feature_2', feature_1 || '&' || feature_2, CAST(count(*) FILTER (split = 'train') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'train'),
-       CAST(count(*) FILTER (split = 'test') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'test') FROM cards GROUP BY 2""")
+@query("j08_compare_joint_distributions", " UNION ALL ".join(f"""
+SELECT '{a}&{b}' AS "column", {_J8[a]} || '&' || {_J8[b]} AS value, CAST(count(*) FILTER (split = 'train') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'train') AS train_ratio,
+       CAST(count(*) FILTER (split = 'test') AS DOUBLE) / (SELECT count(*) FROM cards WHERE split = 'test') AS test_ratio FROM cards GROUP BY 2""" for a, b in combinations(_J8, 2)))
 def _(t):
     cards = t.cards.withColumn("first_active_month", F.to_date("first_active_month"))
     return pr.compare_distributions(cards.filter("split = 'train'"), cards.filter("split = 'test'"),
-                                    ["first_active_month", "feature_1", "feature_2"], pairs=True)
+                                    list(_J8), pairs=True)
 
 
 # ---- sorts and top-k ---------------------------------------------------------
@@ -195,6 +196,7 @@ def _(t):
 
 # ---- id lists and texts ------------------------------------------------------
 
+ID_COLUMNS = ["merchant_id", "merchant_category_id", "state_id", "subsector_id", "city_id"]
 SEGS = {"new": "month_lag >= 0", "hist": "month_lag < 0", "all": None}
 SEG_SQL = {"new": "month_lag >= 0", "hist": "month_lag < 0", "all": "TRUE"}
 
@@ -206,10 +208,10 @@ def _docs_sql(cols):
 
 
 @query("a22_id_documents", f"""
-WITH docs AS ({_docs_sql(['merchant_id', 'city_id'])})
+WITH docs AS ({_docs_sql(ID_COLUMNS)})
 SELECT card_id, document, row_number() OVER (PARTITION BY card_id, document ORDER BY {ORDER}) - 1 AS position, id FROM docs""")
 def _(t):
-    return tx.id_documents(t.txn, "card_id", ["merchant_id", "city_id"], ROW_ORDER, SEGS)
+    return tx.id_documents(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
 
 
 @query("v01_tokens", """
@@ -219,11 +221,11 @@ def _(t):
 
 
 @query("v02_count_vectors", f"""
-WITH docs AS ({_docs_sql(['merchant_id', 'subsector_id', 'city_id'])}),
+WITH docs AS ({_docs_sql(ID_COLUMNS)}),
      tok AS (SELECT card_id, document, unnest(regexp_extract_all(lower(id), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM docs)
 SELECT card_id, document, term, count(*) AS tf FROM tok GROUP BY ALL""")
 def _(t):
-    toks = tx.document_tokens(t.txn, "card_id", ["merchant_id", "subsector_id", "city_id"], ROW_ORDER, SEGS)
+    toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
     return tx.count_terms(toks, "card_id")
 
 
@@ -235,14 +237,14 @@ SELECT {key}, document, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY {key}
 
 
 @query("v03_tfidf_of_ids", f"""
-WITH docs AS ({_docs_sql(['merchant_id', 'subsector_id'])}),
+WITH docs AS ({_docs_sql(ID_COLUMNS)}),
      tok AS (SELECT card_id, document, purchase_date, ord_1, ord_2, ord_3, unnest(l) AS token, generate_subscripts(l, 1) AS i
              FROM (SELECT *, regexp_extract_all(lower(id), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS l FROM docs)),
      pairs AS (SELECT card_id, document, lag(token) OVER (PARTITION BY card_id, document ORDER BY {ORDER}, i) || ' ' || token AS term FROM tok),
      tf AS (SELECT card_id, document, term, count(*) AS tf FROM (SELECT card_id, document, token AS term FROM tok UNION ALL SELECT * FROM pairs WHERE term IS NOT NULL) GROUP BY ALL),
      total AS (SELECT count(*) AS n FROM cards),""" + _WEIGHTS.format(key="card_id"))
 def _(t):
-    toks = tx.document_tokens(t.txn, "card_id", ["merchant_id", "subsector_id"], ROW_ORDER, SEGS)
+    toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
     pairs = tx.bigrams(toks, "card_id", ROW_ORDER)
     counts = tx.count_terms(toks.select("card_id", "document", "token").unionByName(pairs), "card_id")
     w = tx.tfidf(counts, tx.count_documents(t.cards), "card_id")
@@ -264,16 +266,16 @@ def _(t):
 
 
 @query("v04_shared_vocabulary", f"""
-WITH docs AS ({_docs_sql(['city_id'])}), tok AS (SELECT DISTINCT 'x' AS x, document || '&' || unnest(regexp_extract_all(lower(id), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS feature FROM docs)
+WITH docs AS ({_docs_sql(ID_COLUMNS)}), tok AS (SELECT DISTINCT 'x' AS x, document || '&' || unnest(regexp_extract_all(lower(id), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS feature FROM docs)
 SELECT feature, CAST(row_number() OVER (ORDER BY feature) - 1 AS INT) AS code FROM tok""")
 def _(t):
-    toks = tx.document_tokens(t.txn, "card_id", ["city_id"], ROW_ORDER, SEGS)
+    toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
     return tx.fit_vocabulary(tx.count_terms(toks, "card_id"))
 
 
 @query("v05_assembled_vectors")
 def _(t):
-    toks = tx.document_tokens(t.txn, "card_id", ["city_id", "state_id"], ROW_ORDER, SEGS)
+    toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
     counts = tx.count_terms(toks, "card_id")
     vocabulary = tx.fit_vocabulary(counts)
     size = vocabulary.count()
@@ -394,3 +396,15 @@ def _(t):
 @query("s07_submission", f"WITH {_FAKE} SELECT card_id, lightgbm AS target FROM preds WHERE split = 'test'")
 def _(t):
     return to_submission(t.cards.filter("split = 'test'"), _fake(t)["lightgbm"])
+
+
+@query("f26_clamped_scores", """
+SELECT card_id, CAST(least(greatest(target / 1000, 0), 1) AS DOUBLE) AS share, CAST(round(greatest(target / 1000, 0)) AS INT) AS whole FROM cards""")
+def _(t):
+    return t.cards.select("card_id", clamp(F.col("target") / 1000, 0, 1).alias("share"), whole_number(clamp(F.col("target") / 1000, 0)).alias("whole"))
+
+
+@query("t04_predictions_in_card_order", f"SELECT card_id, {_FOLD.format(seed=3)} AS fold, target AS pred FROM cards WHERE split = 'train'")
+def _(t):
+    folded = t.cards.filter("split = 'train'").select("card_id", fo.fold_of(F.col("card_id"), 5, 3).alias("fold"), F.col("target").alias("pred"))
+    return in_order_of(t.cards.filter("split = 'train'"), folded.orderBy("fold"), "card_id")

@@ -71,11 +71,11 @@ def _(t):
     return _prepared(t, 2)
 
 
-@query("c03_cross_sums", f"WITH {_PREPARED}, tx AS (SELECT card_id, amount_units, installments, {_TEXT} FROM pt WHERE card_id IN (SELECT card_id FROM cards WHERE split = 'test')) "
+@query("c03_cross_sums", f"WITH {_PREPARED}, tx AS (SELECT card_id, amount_units, installments, {_TEXT} FROM pt) "
        + " UNION ALL ".join(f"SELECT card_id, '{c}&' || {c} || '&{n}' AS feature, CAST(sum({n}) AS DOUBLE) AS v FROM tx GROUP BY 1, 2"
                             for c in pp.TRANSACTION_CATEGORIES for n in ("amount_units", "installments")))
 def _(t):
-    return ba.cross_features(_prepared(t, 1), t.cards.filter("split = 'test'"), nums=("amount_units", "installments"))
+    return ba.cross_features(_prepared(t, 1), t.cards, nums=("amount_units", "installments"))
 
 
 _C4_STATS = {"nunique": "count(DISTINCT {c}) FILTER ({p})", "mean": "round(avg({c}) FILTER ({p}), 9)", "min": "min({c}) FILTER ({p})",
