@@ -168,10 +168,11 @@ def latest(df: DataFrame, key: str, order: str | Sequence[str], values: Sequence
     return df.groupBy(key).agg(row).select(key, *[F.col(f"_row.{c}").alias(c) for c in [*order, *[v for v in values if v not in order]]])
 
 
-def attach_reference(new: DataFrame, hist: DataFrame, key: str, ts: str, out: str = "reference_day") -> DataFrame:
+def attach_reference(new: DataFrame, hist: DataFrame, key: str, ts: str, out: str = "reference_day",
+                     row_id: Sequence[str] | None = None) -> DataFrame:
     """The last historical timestamp of the key on every new row."""
     ref = hist.groupBy(key).agg(F.max(ts).alias(out))
-    return keyed_join(new, ref, key)
+    return keyed_join(new, ref, key, row_id=row_id)
 
 
 def share_of_total(df: DataFrame, key: str, part: str, counted: str, out: str = "share") -> DataFrame:

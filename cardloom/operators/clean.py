@@ -92,9 +92,9 @@ def without_outliers(df: DataFrame, flag: str = "outliers") -> DataFrame:
     return df.filter(F.col(flag) == 0)
 
 
-def restrict_to(facts: DataFrame, entities: DataFrame, key: str) -> DataFrame:
+def restrict_to(facts: DataFrame, entities: DataFrame, key: str, row_id: Sequence[str] | None = None) -> DataFrame:
     """Facts of known entities only."""
-    return keyed_join(facts, entities.select(key), key, "left_semi")
+    return keyed_join(facts, entities.select(key), key, "left_semi", row_id=row_id)
 
 
 # The name rules that remove columns from the refined feature table.

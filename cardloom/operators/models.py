@@ -1,6 +1,6 @@
 """Fitting and scoring with MLlib tree ensembles on deterministic folds.
 
-Training reads one persisted table of (key, label, fold, vector). Every fit is
+Training reads one staged table of (key, label, fold, vector). Every fit is
 a distributed MLlib job; the driver holds models and a few scores only.
 """
 
@@ -10,7 +10,6 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -21,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.semantics import INF, dbl
+from ..session import shared_folder
 from .blend import METRICS, score_summary
 from .clean import flag_outliers, without_outliers
 from .folds import assign_folds
@@ -110,7 +110,9 @@ def oof_fit_predict(train: DataFrame, test: DataFrame | None, estimator: Estimat
     est.setLabelCol("_label").setFeaturesCol(features)
     early = est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
     rows = assign_folds(train.select(key, y, features), key, k, seed).drop("repeat")
-    rows = rows.withColumn("_label", dbl(y)).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = shared_folder(train.sparkSession)
+    rows.withColumn("_label", dbl(y)).write.parquet(staged)
+    rows = train.sparkSession.read.parquet(staged)
     models, parts = [], []
     for fold in range(k):
         held = F.col("fold") == fold

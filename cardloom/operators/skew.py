@@ -24,9 +24,12 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, shares: int = SHARE
 
 
 def keyed_join(facts: DataFrame, table: DataFrame, keys: str | Sequence[str], how: str = "left", size: str | None = None,
-               shares: int = SHARES) -> DataFrame:
+               shares: int = SHARES, row_id: Sequence[str] | None = None) -> DataFrame:
     """Join facts to a table with one row per key.
 
+    ``row_id`` names columns that tell the fact rows apart; they alone spread a hot key, so that other columns need not be
+    read and equal rows do not stay together. Without it all columns of ``facts`` are hashed: select the wanted ones first.
+
     ``size`` names a table column holding the number of fact rows of the key;
     it is dropped from the result. Without it the fact keys are counted first.
     Every salted slice of a hot key is about 1/shares of the rows; NULL keys
@@ -39,7 +42,7 @@ def keyed_join(facts: DataFrame, table: DataFrame, keys: str | Sequence[str], ho
         counts = table.select(*keys, F.col(size).alias("_n"))
         table = table.drop(size)
     hot = F.broadcast(hot_keys(counts, keys, "_n", shares))
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in row_id or facts.columns])
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()

@@ -111,7 +111,7 @@ def expand_transactions(df: DataFrame, cards: DataFrame, order: Sequence[str], k
     from ..functions.semantics import floor_div
 
     rows = clean_transactions(df, missing_merchant)
-    rows = keyed_join(rows, cards.select(key, F.to_date("first_active_month").alias("first_active_month")), key)
+    rows = keyed_join(rows, cards.select(key, F.to_date("first_active_month").alias("first_active_month")), key, row_id=order)
     active = F.datediff("purchase_date_floorday", "first_active_month")
     rows = rows.withColumn("purchase_day_since_active_day", active).withColumns({
         "purchase_month_since_active_day": floor_div("purchase_day_since_active_day", 30),

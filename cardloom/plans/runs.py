@@ -105,7 +105,7 @@ def run_refined(cards: DataFrame, hist: DataFrame, new: DataFrame, as_of: str, f
 
 def id_term_weights(cards: DataFrame, transactions: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(counts, TF-IDF weights) of the fifteen id documents of every card, long."""
-    known = restrict_to(transactions, cards, KEY)
+    known = restrict_to(transactions, cards, KEY, order)
     toks = tx.document_tokens(known, KEY, ID_COLUMNS, order, ID_SEGMENTS)
     counts = tx.count_terms(toks, KEY)
     counts = cut(counts)

@@ -6,6 +6,8 @@ from cardloom.operators import aggregate as ag, quantile as qt
 
 from cardloom.operators.skew import keyed_join
 
+from cardloom.sources.fixtures import ROW_ORDER
+
 from .registry import query
 
 HIST, NEW = "month_lag < 0", "month_lag >= 0"
@@ -179,7 +181,7 @@ SELECT t.card_id,
 FROM (SELECT x.*, coalesce(x.purchase_date < c.first_active_month, FALSE) AS p
       FROM txn x LEFT JOIN cards c ON c.card_id = x.card_id) t GROUP BY t.card_id""")
 def _(t):
-    rows = keyed_join(t.txn, t.cards.select("card_id", "first_active_month"), "card_id")
+    rows = keyed_join(t.txn, t.cards.select("card_id", "first_active_month"), "card_id", row_id=ROW_ORDER)
     before = F.col("purchase_date") < F.col("first_active_month").cast("timestamp_ntz")
     return ag.part_share(rows, "card_id", before, "authorized_flag", "amount_units")
 

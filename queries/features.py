@@ -96,7 +96,7 @@ _CORR = ["purchase_amount", "installments", "category_2", "city_id", "month_lag"
     for c in _CORR).join(("WITH z AS (SELECT t.*, 1 AS flat, c.target AS y FROM txn t JOIN cards c ON c.card_id = t.card_id WHERE c.split = 'train') ", "")))
 def _(t):
     labels = t.cards.filter("split = 'train'").select("card_id", "target")
-    df = keyed_join(t.txn, labels, "card_id", "inner").withColumn("flat", F.lit(1))
+    df = keyed_join(t.txn, labels, "card_id", "inner", row_id=ROW_ORDER).withColumn("flat", F.lit(1))
     return pr.corr_with_target(df, _CORR, "target").select("feature", F.round("abs_corr", 9).alias("abs_corr"))
 
 

@@ -51,7 +51,7 @@ def _(t):
 SELECT x.card_id, {ORDS} FROM txn x JOIN cards c ON c.card_id = x.card_id WHERE x.purchase_date < c.first_active_month""")
 def _(t):
     cards = t.cards.select("card_id", F.col("first_active_month").cast("timestamp_ntz").alias("m"))
-    return keyed_join(t.txn, cards, "card_id", "inner").filter(F.col("purchase_date") < F.col("m")).select(*LINE)
+    return keyed_join(t.txn, cards, "card_id", "inner", row_id=ROW_ORDER).filter(F.col("purchase_date") < F.col("m")).select(*LINE)
 
 
 @query("p07_authorized_rows", f"SELECT card_id, {ORDS} FROM txn WHERE authorized_flag = 'Y'")
@@ -159,7 +159,7 @@ def _(t):
 SELECT x.card_id, {ORDS}, CAST(date_diff('day', CAST(c.first_active_month AS DATE), CAST(x.purchase_date AS DATE)) AS INT) AS days
 FROM txn x LEFT JOIN cards c ON c.card_id = x.card_id""")
 def _(t):
-    rows = keyed_join(t.txn, t.cards.select("card_id", "first_active_month"), "card_id")
+    rows = keyed_join(t.txn, t.cards.select("card_id", "first_active_month"), "card_id", row_id=ROW_ORDER)
     return rows.select(*LINE, d.days_between("purchase_date", "first_active_month").alias("days"))
 
 
@@ -305,7 +305,7 @@ def _(t):
 SELECT x.card_id, {ORDS}, CAST(c.first_active_month AS DATE) AS first_active_month FROM txn x LEFT JOIN cards c ON c.card_id = x.card_id""")
 def _(t):
     cards = t.cards.select("card_id", F.to_date("first_active_month").alias("first_active_month"))
-    return keyed_join(t.txn, cards, "card_id").select(*LINE, "first_active_month")
+    return keyed_join(t.txn, cards, "card_id", row_id=ROW_ORDER).select(*LINE, "first_active_month")
 
 
 @query("j04_reference_day", f"""

@@ -140,3 +140,19 @@ def test_join_features_keeps_all_base_rows(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
     feats = spark.createDataFrame([(1, "z", 5)], "k int, x string, f int")
     assert sorted(map(tuple, jo.join_features(base, [feats], "k").collect())) == [(1, "a", 5), (2, "b", None)]
+
+
+def test_keyed_join_reads_only_what_is_wanted(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    table = spark.read.parquet(f"{folder}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    joined = sk.keyed_join(lines, table, "l_orderkey", row_id=["l_orderkey", "l_linenumber"]).select("l_quantity", "o_custkey")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "l_quantity" in plan and "l_shipdate" not in plan and "l_comment" not in plan and "l_extendedprice" not in plan
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    df = spark.range(20_000).select(F.lit(7).alias("k"), F.lit("same").alias("v"), F.col("id").alias("row"))
+    table = spark.createDataFrame([(7, 20_000)], "k int, n long")
+    joined = sk.keyed_join(df, table, "k", size="n", shares=200, row_id=["row"]).select("k", "v")
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 20_000
