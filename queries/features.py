@@ -2,6 +2,7 @@
 
 from itertools import combinations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardloom.functions import dates as d
@@ -201,10 +202,10 @@ SEGS = {"new": "month_lag >= 0", "hist": "month_lag < 0", "all": None}
 SEG_SQL = {"new": "month_lag >= 0", "hist": "month_lag < 0", "all": "TRUE"}
 
 
-def _docs_sql(cols):
+def _docs_sql(cols, segments=SEG_SQL):
     return " UNION ALL ".join(
         f"SELECT card_id, '{c}_{s}' AS document, purchase_date, ord_1, ord_2, ord_3, coalesce(CAST({c} AS VARCHAR), 'nan') AS id FROM txn WHERE {p}"
-        for c in cols for s, p in SEG_SQL.items())
+        for c in cols for s, p in segments.items())
 
 
 @query("a22_id_documents", f"""
@@ -273,7 +274,24 @@ def _(t):
     return tx.fit_vocabulary(tx.count_terms(toks, "card_id"))
 
 
-@query("v05_assembled_vectors")
+def _terms_sql(segments):
+    return f"""
+docs AS ({_docs_sql(ID_COLUMNS, segments)}),
+tok AS (SELECT card_id, document || '&' || term AS feature, count(*) AS tf
+        FROM (SELECT card_id, document, unnest(regexp_extract_all(lower(id), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM docs) GROUP BY ALL),
+voc AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS code FROM (SELECT DISTINCT feature FROM tok)),
+entries AS (SELECT card_id, code, tf FROM tok JOIN voc ON voc.feature = tok.feature)"""
+
+
+def vector_entries(df, vector):
+    """(card_id, position, value) of the entries that are not 0."""
+    return df.select("card_id", F.posexplode(vector_to_array(vector)).alias("position", "value")).filter("value <> 0")
+
+
+@query("v05_assembled_vectors", f"WITH {_terms_sql(SEG_SQL)}," + """
+dense AS (SELECT * FROM cards WHERE card_id IN (SELECT card_id FROM entries))
+SELECT card_id, CAST(code + 3 AS INT) AS position, CAST(tf AS DOUBLE) AS value FROM entries""" + "".join(
+    f" UNION ALL SELECT card_id, {i}, CAST(feature_{i + 1} AS DOUBLE) FROM dense WHERE feature_{i + 1} <> 0" for i in range(3)))
 def _(t):
     toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, SEGS)
     counts = tx.count_terms(toks, "card_id")
@@ -281,7 +299,8 @@ def _(t):
     size = vocabulary.count()
     vectors = tx.to_sparse(counts, vocabulary, size, "card_id", "tf")
     joined = vectors.join(t.cards.select("card_id", "feature_1", "feature_2", "feature_3"), "card_id")
-    return tx.assemble(joined, ["feature_1", "feature_2", "feature_3"], {"vector": size}).select("card_id", "features")
+    whole = tx.assemble(joined, ["feature_1", "feature_2", "feature_3"], {"vector": size})
+    return vector_entries(whole, "features")
 
 
 # ---- folds, samples, metrics and blends --------------------------------------

@@ -8,6 +8,7 @@ from cardloom.session import shared_folder
 from cardloom.sources import tables as tb
 from cardloom.sources.fixtures import ROW_ORDER
 
+from .features import ID_COLUMNS, _terms_sql, vector_entries
 from .registry import query
 
 
@@ -62,11 +63,11 @@ def _(t):
     return tb.read_predictions(t.spark, path)
 
 
-@query("s06_stage_sparse_vectors")
+@query("s06_stage_sparse_vectors", f"WITH {_terms_sql({'all': 'TRUE'})} SELECT card_id, CAST(code AS INT) AS position, CAST(tf AS DOUBLE) AS value FROM entries")
 def _(t):
-    toks = tx.document_tokens(t.txn, "card_id", ["city_id"], ROW_ORDER, {"all": None})
+    toks = tx.document_tokens(t.txn, "card_id", ID_COLUMNS, ROW_ORDER, {"all": None})
     counts = tx.count_terms(toks, "card_id")
     vocabulary = tx.fit_vocabulary(counts)
     path = shared_folder(t.spark)
     tb.write_stage(tx.to_sparse(counts, vocabulary, vocabulary.count(), "card_id", "tf"), path)
-    return tb.read_table(t.spark, path)
+    return vector_entries(tb.read_table(t.spark, path), "vector")
