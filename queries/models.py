@@ -1,5 +1,6 @@
 """Model work: folds, fits, searches and importances on per-card features. Rows-only checks."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardloom.operators import aggregate as ag, models as mo
@@ -94,3 +95,40 @@ def _(t):
         one = rows.agg(F.lit(name).alias("variant"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("outliers"), F.lit(0)).alias("outliers"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ---- trees that SQL can state ------------------------------------------------
+# One split of a 0/1 feature without sampling: every prediction is a group mean.
+
+def _flag_matrices(t, label):
+    train = t.cards.filter("split = 'train'").withColumn("y", label)
+    return mo.assemble_matrix(train, ["feature_3"], "card_id", "y"), mo.assemble_matrix(
+        t.cards.filter("split = 'test'"), ["feature_3"], "card_id")
+
+
+_GROUP_MEAN = """
+WITH m AS (SELECT feature_3, avg(target) AS pred FROM cards WHERE split = 'train' GROUP BY 1)
+SELECT card_id, round(pred, 6) AS pred FROM cards JOIN m ON m.feature_3 = cards.feature_3 WHERE split = 'test'"""
+
+
+@query("m03_forest_of_group_means", _GROUP_MEAN)
+def _(t):
+    train, test = _flag_matrices(t, F.col("target"))
+    trees = mo.forest(numTrees=3, bootstrap=False, featureSubsetStrategy="all", minInstancesPerNode=1)
+    return trees.setLabelCol("y").fit(train).transform(test).select("card_id", F.round("prediction", 6).alias("pred"))
+
+
+@query("m04_one_boosting_round", _GROUP_MEAN)
+def _(t):
+    train, test = _flag_matrices(t, F.col("target"))
+    model = mo.boosted_regressor("third", 1, early_stop=False).setLabelCol("y").fit(train)
+    return model.transform(test).select("card_id", F.round("prediction", 6).alias("pred"))
+
+
+@query("m05_one_round_probability", """
+WITH m AS (SELECT feature_3, avg(CASE WHEN target < 0 THEN 1.0::DOUBLE ELSE -1 END) AS f FROM cards WHERE split = 'train' GROUP BY 1)
+SELECT card_id, round(1 / (1 + exp(-2 * f)), 6) AS pred FROM cards JOIN m ON m.feature_3 = cards.feature_3 WHERE split = 'test'""")
+def _(t):
+    train, test = _flag_matrices(t, (F.col("target") < 0).cast("double"))
+    model = mo.boosted_classifier("third", 1, early_stop=False).setLabelCol("y").fit(train)
+    return model.transform(test).select("card_id", F.round(vector_to_array("probability")[1], 6).alias("pred"))
