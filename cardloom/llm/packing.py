@@ -32,7 +32,8 @@ END = 2
 #: Pieces that are numbered together in one task.
 CHUNK = 50_000
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# ids pass pandas as text, where whole numbers beside nulls would turn into fractions
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -52,11 +53,10 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         own = ids[4 * start:4 * stop]
                         rows.append((doc, piece, start, stop - start, zlib.crc32(own), own)[:6 if with_ids else 5])
                         start, stop, piece = stop, stop + length, piece + 1
-                frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:6 if with_ids else 5])
-                yield frame.astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:6 if with_ids else 5])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        cut, PIECES + (", ids binary" if with_ids else ""))
+    return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
+        cut, PIECES + (", ids binary" if with_ids else "")).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(histogram: dict[int, int], capacity: tuple[int, int, int], rule: str = "norm",

@@ -151,10 +151,11 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at:at + 512]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "ids": [x + last for x in encode(part["text"])]})
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [x + last for x in encode(part["text"])]})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        run, "doc_id long, ids binary")
+    # ids pass pandas as text, where whole numbers beside nulls would turn into fractions
+    return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
+        run, "doc_id string, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def id_counts(rows: DataFrame, kind: str) -> DataFrame:
@@ -209,12 +210,12 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
 
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
-            for doc, raw in zip(batch["doc_id"].astype(object), batch["ids"]):
+            for doc, raw in zip(batch["doc_id"], batch["ids"]):
                 own = np.frombuffer(raw, kind).astype(np.int64)
                 held.append(own)
                 size += len(own)
                 ends.append(size)
-                documents.append(None if pd.isna(doc) else int(doc))
+                documents.append(None if doc is None else int(doc))
                 while size >= block:
                     yield take(block)
         if size:
@@ -223,7 +224,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
     hashed = F.xxhash64("ids")
     ordered = (rows.withColumn("hash", hashed).repartitionByRange(F.col("doc_id").asc_nulls_first(), "hash")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash", "ids"))
-    ordered.select("doc_id", "ids", F.spark_partition_id().alias("part")).mapInPandas(to_blocks, BLOCKS).write.option(
+    ordered.select(F.col("doc_id").cast("string"), "ids", F.spark_partition_id().alias("part")).mapInPandas(to_blocks, BLOCKS).write.option(
         "compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -243,14 +244,16 @@ def read(spark: SparkSession, folder: str, step: int = STEP, with_ids: bool = Fa
                 for k, (doc, n) in enumerate(zip(b.doc_ids, b.n_tokens)):
                     own = raw[4 * at:4 * (at + n)]
                     whole = not (k == 0 and b.continues or k == last and b.goes_on)
-                    rows.append((b.part, b.first_document + k, b.block, None if pd.isna(doc) else int(doc), b.first_id + at, n,
+                    rows.append((b.part, b.first_document + k, b.block, doc, b.first_id + at, n,
                                  zlib.crc32(own), whole, own)[:len(columns)])
                     at += int(n)
-                yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=columns)
 
-    schema = ("part int, document long, block int, doc_id long, first_id long, n_tokens long, ids_crc32 long, whole boolean"
+    schema = ("part int, document long, block int, doc_id string, first_id long, n_tokens long, ids_crc32 long, whole boolean"
               + (", ids binary" if with_ids else ""))
-    return spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").mapInPandas(decode, schema)
+    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
+    return blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(decode, schema).withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
 
 
 def document_table(spark: SparkSession, folder: str, step: int = STEP) -> DataFrame:
@@ -260,20 +263,20 @@ def document_table(spark: SparkSession, folder: str, step: int = STEP) -> DataFr
     def join_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, pieces in zip(batch["doc_id"].astype(object), batch["pieces"]):
+            for pieces in batch["pieces"]:
                 crc = 0
                 for p in pieces:
                     crc = joined_checksum(crc, p["ids_crc32"], 4 * p["n_tokens"])
-                rows.append((None if pd.isna(doc) else int(doc), crc))
-            yield pd.DataFrame({"part": batch["part"], "doc_id": pd.array([r[0] for r in rows], "Int64"), "first_id": batch["first_id"],
-                                "n_tokens": batch["n_tokens"], "ids_crc32": [r[1] for r in rows]})
+                rows.append(crc)
+            yield batch[["part", "doc_id", "first_id", "n_tokens"]].assign(ids_crc32=rows)
 
     # one short row per block that a document touches
     split = (found.filter("not whole").groupBy("part", "document").agg(
         F.first("doc_id").alias("doc_id"), F.min("first_id").alias("first_id"), F.sum("n_tokens").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("block", "n_tokens", "ids_crc32"))).alias("pieces"))
-        .select("part", "doc_id", "first_id", "n_tokens", "pieces")
-        .mapInPandas(join_parts, "part int, doc_id long, first_id long, n_tokens long, ids_crc32 long"))
+        .select("part", F.col("doc_id").cast("string"), "first_id", "n_tokens", "pieces")
+        .mapInPandas(join_parts, "part int, doc_id string, first_id long, n_tokens long, ids_crc32 long")
+        .withColumn("doc_id", F.col("doc_id").cast("long")))
     rows = found.filter("whole").select("part", "doc_id", "first_id", "n_tokens", "ids_crc32").unionByName(split)
     parts = (spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
              .withColumn("all", F.lit(0)))

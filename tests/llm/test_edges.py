@@ -287,6 +287,14 @@ def test_token_files_edges(docs):
             assert (r["n_tokens"], r["ids_crc32"]) == (len(ids[r["doc_id"]]), zlib.crc32(array("I", ids[r["doc_id"]]).tobytes()))
 
 
+def test_large_ids_beside_a_null_one(spark):
+    ids = [9007199254740993, None, 9007199254740995]
+    frame = spark.createDataFrame([(i, "a b c d e f", "en", "s") for i in ids], "doc_id long, text string, lang string, source string").coalesce(1)
+    for name in ("op1", "op2", "op4", "op5", "op7", "op8", "op9", "op10"):
+        got = OPERATORS[name](frame).collect()
+        assert name == "op1" or Counter(r["doc_id"] for r in got) == Counter(ids), name
+
+
 def test_huffman_lengths_are_optimal_under_the_limit():
     import heapq
     draw = np.random.default_rng(9)
