@@ -37,3 +37,27 @@ def running_offsets(sums: DataFrame, keys: list[str], order: str, value: str, na
     """Exclusive running totals over a small table that holds one row per key and chunk."""
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return sums.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
+
+
+#: Slots of a bitmap of keys; a multiple of 64.
+SLOTS = 1 << 22
+
+
+def bitmap(keys: DataFrame, column: str) -> DataFrame:
+    """One row: ``bits``, an array of 64-bit numbers in which the slots of the keys are set. Its size is fixed."""
+    slot = F.pmod(F.xxhash64(column), F.lit(SLOTS))
+    words = keys.select(F.floor(slot / 64).alias("word"), (slot % 64).cast("int").alias("bit")).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    every = keys.sparkSession.range(SLOTS // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    return stage(every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))),
+                                       lambda x: x["bits"]).alias("bits")))
+
+
+def may_have(rows: DataFrame, key: Column, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose key is surely not among ``keys``, and those that a join has to tell.
+
+    Only the second part needs a shuffle: about the rows of the keys, as long as these are few beside ``SLOTS``.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    known = F.getbit(F.get(bitmap(keys, column).scalar(), F.floor(slot / 64).cast("int")), slot % 64) == 1
+    return rows.filter(~known), rows.filter(known)

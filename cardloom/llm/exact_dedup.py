@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage, whole
+from .common import may_have, stage, whole
 
 #: Code points in a block.
 BLOCK = 4096
@@ -99,9 +99,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     marks = found.groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("twins"), F.max("kept").alias("stays")).filter("twins > 1 or not stays")
     marks = stage(marks.select(F.col("doc_id").alias("_mark_id"), F.col("text_sha256").alias("_mark_sha"),
-                               F.col("stays").alias("_mark_stays")))
+                               F.col("stays").alias("_mark_stays"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_mark_key")))
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.sha2(whole(F.col(text_col)), 256).alias("_sha"))
-    marked = rows.join(marks, F.col("_id").eqNullSafe(F.col("_mark_id")) & (F.col("_sha") == F.col("_mark_sha")), "left")
+    clear, rest = may_have(rows, F.coalesce(F.col("_id").cast("string"), F.lit("")), marks, "_mark_key")
+    marked = rest.join(marks, F.col("_id").eqNullSafe(F.col("_mark_id")) & (F.col("_sha") == F.col("_mark_sha")), "left")
     plain = marked.filter(F.col("_mark_sha").isNull())
     repeated = marked.filter("_mark_stays").dropDuplicates(["_id", "_sha"])
-    return plain.unionByName(repeated).select("_row.*")
+    return clear.select("_row.*").unionByName(plain.unionByName(repeated).select("_row.*"))

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import stage, whole, word_count
+from .common import may_have, stage, whole, word_count
 from .components import connected
 
 WORDS = 5
@@ -563,6 +563,7 @@ def one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str
     marks = stage(found.groupBy(F.col("doc_id").alias("_mark")).agg(
         F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("_stays")).filter("not _stays or rows > 1"))
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("_words"))
-    marked = rows.join(marks, (F.col("_id") == F.col("_mark")) & (F.col("_words") > 0), "left")
-    plain = marked.filter(F.col("_mark").isNull())
-    return plain.unionByName(marked.filter("_stays").dropDuplicates(["_id"])).select("_row.*")
+    clear, rest = may_have(rows, F.coalesce(F.col("_id").cast("long"), F.lit(-1)), marks, "_mark")
+    marked = rest.join(marks, (F.col("_id") == F.col("_mark")) & (F.col("_words") > 0), "left")
+    plain = marked.filter(F.col("_mark").isNull()).unionByName(marked.filter("_stays").dropDuplicates(["_id"]))
+    return clear.select("_row.*").unionByName(plain.select("_row.*"))

@@ -11,7 +11,6 @@ import pytest
 import corpus_pipeline
 from cardloom.llm import (exact_dedup, fingerprints, language_id, licenses, mixing, ngram_join, packing, secrets, token_counts,
                           token_files)
-from tests.oracle import duck
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, row string, rank double, size string, _row string, "
           "name string, key string, label string, bucket string, chunk string, part string, _copies string, target string")
