@@ -378,7 +378,7 @@ def _split(members: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFram
     reach = 1 - percent / 100 + 1e-9
     salts = sizes.select("region", F.ceil(F.col("n") / CHUNK).alias("salts"))
     order = Window.partitionBy("region").orderBy(F.xxhash64("key", "region"), "key")
-    pivots = stage(members.filter("home and not settled").withColumn("pivot", F.row_number().over(order) - 1)
+    pivots = stage(members.filter("not settled").withColumn("pivot", F.row_number().over(order) - 1)
                    .filter(F.col("pivot") < PIVOTS).select("region", "pivot", "key", "shingles"))
     salted = members.join(salts, "region").withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts"))).drop("salts")
     spread = pivots.join(salts, "region").withColumn(
@@ -481,10 +481,10 @@ def linking_edges(members: DataFrame, percent: int = PERCENT, rounds: int = ROUN
         return _join_leaf(rows, percent)
 
     def measured(rows: DataFrame) -> DataFrame:
-        """Regions that still hold two documents to compare."""
+        """Regions that still hold two documents to compare: a guest that is not settled may link with a settled one at home."""
         return stage(rows.groupBy("region").agg(
-            F.count("*").alias("n"), F.sum(F.size("shingles")).alias("shingles"),
-            F.count_if(F.col("home") & ~F.col("settled")).alias("open")).filter("n > 1 and open > 0"))
+            F.count("*").alias("n"), F.sum(F.size("shingles")).alias("shingles"), F.count_if("home").alias("own"),
+            F.count_if(~F.col("settled")).alias("open")).filter("n > 1 and own > 0 and open > 0"))
 
     small = (F.col("n") <= LEAF) & (F.col("shingles") <= LEAF_SHINGLES) | (F.col("n") <= 2)
     for at in range(rounds + 1):

@@ -348,3 +348,17 @@ def test_mixing_near_targets_in_any_slotting(spark):
         for source, t in target.items():
             assert abs(taken[source] - t) <= 10
     assert results[0] == results[1]
+
+
+def test_links_between_documents_that_a_split_settles_apart(spark, monkeypatch):
+    """Chains of versions: pivots near both ends settle their halves, and the links between the halves are all that joins them."""
+    from cardloom.llm.components import connected
+    monkeypatch.setattr(ngram_join, "LEAF", 4)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join, "GROWTH", 100)
+    members = spark.createDataFrame(
+        [(f"r{r}", f"r{r}v{v}".encode(), False, True, list(range(5 * v, 5 * v + 100))) for r in range(120) for v in range(8)],
+        "region string, key binary, settled boolean, home boolean, shingles array<bigint>")
+    got = connected(ngram_join.linking_edges(members, rounds=3), "key", "other").collect()
+    roots = {bytes(r["node"]): bytes(r["root"]) for r in got}
+    assert roots == {f"r{r}v{v}".encode(): f"r{r}v0".encode() for r in range(120) for v in range(8)}
