@@ -1,6 +1,6 @@
 """Secret scans: candidate strings, and a random forest that tells secrets from other strings of that look.
 
-A candidate is the last run of ``SHORTEST`` or more letters, digits and ``+/_-`` with a digit in a word. It is described
+A candidate is every run of ``SHORTEST`` or more letters, digits and ``+/_-`` with a digit. It is described
 by its length and make-up; by its character transitions, the mean log-likelihood of its adjacent characters where the
 words beside all candidates give the counts; by its dictionary coverage, the share of its characters in letter runs that
 are words beside candidates; by its path; and by the words before it: a credential word, a sign of assignment, a quote.
@@ -27,8 +27,11 @@ from .common import stage, whole
 SHORTEST = 16
 #: Findings of either label that the forest is fitted on at most; trees and their depth.
 PER_LABEL, TREES, DEPTH = 2_000, 20, 6
-#: Words of context before a candidate.
-BEFORE = 3
+#: Words of context before a candidate, and characters of its own word.
+BEFORE, NEAR = 3, 200
+_IN = "A-Za-z0-9+/_\\-"
+#: A whole run of a candidate's characters that has a digit.
+RUN = f"(?<![{_IN}])(?=[A-Za-z+/_\\-]*+[0-9])[{_IN}]{{{SHORTEST},}}"
 
 # Words that name credentials, and prefixes of provider keys.
 CREDENTIAL = "token|secret|password|passwd|pwd|apikey|api_key|key|auth|credential|bearer"
@@ -40,18 +43,25 @@ FEATURES = ["length", "digits", "uppers", "lowers", "variety", "hexadecimal", "p
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """doc_id, position (of the word), value, before (what stands before it), after, path."""
+    """doc_id, position (of the word), offset (in it), value, before (what stands before it), after, path."""
     words = F.split(whole(F.col(text_col)), "[\\s]+")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), words.alias("words"))
-    run = f"([A-Za-z0-9+/_\\-]{{{SHORTEST},}})[^A-Za-z0-9+/_\\-]*$"
     long = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("position"), w.alias("word"))),
                     lambda x: (F.length(x["word"]) >= SHORTEST) & x["word"].rlike("[0-9]"))
-    found = rows.withColumn("x", F.explode(long)).withColumn("value", F.regexp_extract("x.word", run, 1))
     at = F.col("x.position")
     start = F.greatest(at - BEFORE, F.lit(0))
-    before = F.concat_ws(" ", F.slice("words", start + 1, at - start), F.expr("substring_index(x.word, value, 1)"))
-    return found.filter((F.col("value") != "") & F.col("value").rlike("[0-9]")).select(
-        "doc_id", at.alias("position"), "value", before.alias("before"), F.coalesce(F.get("words", at + 1), F.lit("")).alias("after"), "path")
+    found = rows.withColumn("x", F.explode(long)).select(
+        "doc_id", "path", at.alias("position"), F.col("x.word").alias("word"), F.concat_ws(" ", F.slice("words", start + 1, at - start)).alias("left"),
+        F.coalesce(F.get("words", at + 1), F.lit("")).alias("after"))
+    # what lies between the runs gives their places
+    found = found.withColumn("values", F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).filter(F.size("values") > 0).withColumn(
+        "gaps", F.split("word", RUN))
+    found = found.select("*", F.posexplode("values").alias("k", "value")).withColumn("offset", F.aggregate(
+        F.slice("gaps", 1, F.col("k") + 1), F.lit(0), lambda n, x: n + F.length(x)) + F.aggregate(
+        F.slice("values", 1, F.col("k")), F.lit(0), lambda n, x: n + F.length(x)))
+    near = F.least("offset", F.lit(NEAR))
+    before = F.concat_ws(" ", "left", F.substring("word", F.col("offset") - near + 1, near))
+    return found.select("doc_id", "position", "offset", "value", before.alias("before"), "after", "path")
 
 
 def certain(value: Column, before: Column) -> Column:
@@ -93,10 +103,10 @@ def described(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source",
          per_label: int = PER_LABEL, seed: int = 3) -> DataFrame:
-    """One row per candidate: doc_id, position, value_sha256, length, score, secret."""
+    """One row per candidate: doc_id, position, offset, value_sha256, length, score, secret."""
     found = candidates(docs, id_col, text_col, path_col).withColumn("finding", F.monotonically_increasing_id()).withColumn("known", F.lit(None).cast("boolean"))
     if labelled is not None:
-        given = labelled.select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("position"), "value", "before", F.lit("").alias("after"),
+        given = labelled.select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("position"), F.lit(0).alias("offset"), "value", "before", F.lit("").alias("after"),
                                 "path", (-1 - F.monotonically_increasing_id()).alias("finding"), F.col("secret").cast("boolean").alias("known"))
         found = found.unionByName(given)
     else:
@@ -116,5 +126,5 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featuresCol="features", labelCol="label").fit(
             vectors.transform(fit_rows))
         scored = forest.transform(vectors.transform(own)).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "position", F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("int").alias("length"),
+    return scored.select("doc_id", "position", "offset", F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("int").alias("length"),
                          "score", (F.col("score") >= 0.5).alias("secret"))

@@ -362,3 +362,14 @@ def test_links_between_documents_that_a_split_settles_apart(spark, monkeypatch):
     got = connected(ngram_join.linking_edges(members, rounds=3), "key", "other").collect()
     roots = {bytes(r["node"]): bytes(r["root"]) for r in got}
     assert roots == {f"r{r}v{v}".encode(): f"r{r}v0".encode() for r in range(120) for v in range(8)}
+
+
+def test_secrets_every_run_of_a_word(spark):
+    one, two = "aebccd4559894937c75946a5f6a3ed5b13ef9ee9", "ghp_0123456789abcdefABCDEF"
+    texts = [f'{{"a":"{one}","b":"{two}"}}', f"see https://h/?token={two}&user=bob now", f"password={one};host=db", f"{two},{two},internationalisation"]
+    frame = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    digest = {hashlib.sha256(v.encode()).hexdigest(): v for v in (one, two)}
+    got = {(r["doc_id"], r["position"], r["offset"]): digest[r["value_sha256"]] for r in secrets.scan(frame).collect()}
+    assert got == {(0, 0, 6): one, (0, 0, texts[0].index(two)): two, (1, 1, 17): two, (2, 0, 9): one, (3, 0, 0): two, (3, 0, 27): two}
+    before = {(r["doc_id"], r["offset"]): r["before"] for r in secrets.candidates(frame).collect()}
+    assert before[1, 17] == "see https://h/?token=" and before[0, texts[0].index(two)].endswith(',"b":"')
