@@ -2,13 +2,13 @@
 
 A candidate is every run of ``SHORTEST`` or more letters, digits and ``+/_-`` with a digit. It is described
 by its length and make-up; by its character transitions, the mean log-likelihood of its adjacent characters where the
-words beside all candidates give the counts; by its dictionary coverage, the share of its characters in letter runs that
-are words beside candidates; by its path; and by the words before it: a credential word, a sign of assignment, a quote.
+words of all texts give the counts; by its dictionary coverage, the share of its characters in letter runs that are words
+of the texts, found more than once; by its path; and by the words before it: a credential word, a sign of assignment, a quote.
 
 The forest is trained from labelled findings. ``labelled`` holds them as (value, before, path, secret); where none are
 given, findings are labelled by ``certain``: a value that a credential word is assigned to, or with a provider's prefix, is
 a secret, any other is not. Not more than ``PER_LABEL`` findings of either label are fitted. Counts of transitions and
-words cover all candidates. Everything runs as DataFrame expressions and the forest of the ML library.
+words cover all texts but for the candidates themselves. Everything runs as DataFrame expressions and the forest of the ML library.
 
 Defined results: a null or empty text has no candidates. Where the labels are all of one kind, that kind is the answer.
 Copies have findings each. Rows with a null id or path are searched like others. Values are given as digests only. An
@@ -43,7 +43,7 @@ FEATURES = ["length", "digits", "uppers", "lowers", "variety", "hexadecimal", "p
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """doc_id, position (of the word), offset (in it), value, before (what stands before it), after, path."""
+    """doc_id, position (of the word), offset (in it), value, before (what stands before it), path."""
     words = F.split(whole(F.col(text_col)), "[\\s]+")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), words.alias("words"))
     long = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("position"), w.alias("word"))),
@@ -51,8 +51,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at = F.col("x.position")
     start = F.greatest(at - BEFORE, F.lit(0))
     found = rows.withColumn("x", F.explode(long)).select(
-        "doc_id", "path", at.alias("position"), F.col("x.word").alias("word"), F.concat_ws(" ", F.slice("words", start + 1, at - start)).alias("left"),
-        F.coalesce(F.get("words", at + 1), F.lit("")).alias("after"))
+        "doc_id", "path", at.alias("position"), F.col("x.word").alias("word"), F.concat_ws(" ", F.slice("words", start + 1, at - start)).alias("left"))
     # what lies between the runs gives their places
     found = found.withColumn("values", F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).filter(F.size("values") > 0).withColumn(
         "gaps", F.split("word", RUN))
@@ -61,7 +60,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.slice("values", 1, F.col("k")), F.lit(0), lambda n, x: n + F.length(x)))
     near = F.least("offset", F.lit(NEAR))
     before = F.concat_ws(" ", "left", F.substring("word", F.col("offset") - near + 1, near))
-    return found.select("doc_id", "position", "offset", "value", before.alias("before"), "after", "path")
+    return found.select("doc_id", "position", "offset", "value", before.alias("before"), "path")
 
 
 def certain(value: Column, before: Column) -> Column:
@@ -69,10 +68,18 @@ def certain(value: Column, before: Column) -> Column:
     return value.rlike(PREFIX) | F.lower(before).rlike(f"({CREDENTIAL})[^a-z0-9]*[=:][^a-z0-9]*$")
 
 
-def described(found: DataFrame) -> DataFrame:
-    """``found`` (with a unique ``finding``) and the columns of ``FEATURES``."""
-    beside = found.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), "[^\\p{L}]+")).alias("word")).filter("length(word) > 1")
-    words = stage(beside.groupBy("word").agg(F.count("*").alias("n")))
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word, n: how often the texts have each run of letters outside candidates."""
+    def outside(w: Column) -> Column:
+        return F.when((F.length(w) >= SHORTEST) & w.rlike("[0-9]"), F.regexp_replace(w, RUN, " ")).otherwise(w)
+
+    text = F.array_join(F.transform(F.split(whole(F.col(text_col)), "[\\s]+"), outside), " ")
+    return docs.select(F.explode(F.split(F.lower(text), "[^\\p{L}]+")).alias("word")).filter("length(word) > 1").groupBy("word").agg(
+        F.count("*").alias("n"))
+
+
+def described(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``found`` (with a unique ``finding``) and the columns of ``FEATURES``; ``words`` has each word of the texts and its number."""
 
     def pairs(text: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2)))
@@ -84,7 +91,8 @@ def described(found: DataFrame) -> DataFrame:
     likely = (found.select("finding", F.explode(pairs(lower)).alias("pair")).join(table, "pair", "left").groupBy("finding").agg(
         F.avg(F.coalesce("log_p", F.lit(-6.0))).alias("transitions")))
     runs = found.select("finding", F.explode(F.split(lower, "[^\\p{L}]+")).alias("word")).filter("length(word) > 1")
-    covered = runs.join(words.filter("n > 1").select("word"), "word").groupBy("finding").agg(F.sum(F.length("word")).alias("covered"))
+    dictionary = stage(words.filter("n > 1").select("word").join(runs.select("word").distinct(), "word", "left_semi"))
+    covered = runs.join(dictionary, "word").groupBy("finding").agg(F.sum(F.length("word")).alias("covered"))
 
     def share(pattern: str) -> Column:
         return F.length(F.regexp_replace("value", f"[^{pattern}]", "")) / F.length("value")
@@ -106,12 +114,12 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     """One row per candidate: doc_id, position, offset, value_sha256, length, score, secret."""
     found = candidates(docs, id_col, text_col, path_col).withColumn("finding", F.monotonically_increasing_id()).withColumn("known", F.lit(None).cast("boolean"))
     if labelled is not None:
-        given = labelled.select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("position"), F.lit(0).alias("offset"), "value", "before", F.lit("").alias("after"),
+        given = labelled.select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("position"), F.lit(0).alias("offset"), "value", "before",
                                 "path", (-1 - F.monotonically_increasing_id()).alias("finding"), F.col("secret").cast("boolean").alias("known"))
         found = found.unionByName(given)
     else:
         found = found.withColumn("known", certain(F.col("value"), F.col("before")))
-    rows = stage(described(stage(found)))
+    rows = stage(described(stage(found), stage(word_counts(docs, text_col))))
     order = Window.partitionBy("known").orderBy(F.xxhash64("value", "before"), "value", "finding")
     sample = (rows.filter("known is not null").select("finding", "known", "value", "before").withColumn("place", F.row_number().over(order))
               .filter(F.col("place") <= per_label).select("finding"))

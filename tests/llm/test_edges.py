@@ -373,3 +373,15 @@ def test_secrets_every_run_of_a_word(spark):
     assert got == {(0, 0, 6): one, (0, 0, texts[0].index(two)): two, (1, 1, 17): two, (2, 0, 9): one, (3, 0, 0): two, (3, 0, 27): two}
     before = {(r["doc_id"], r["offset"]): r["before"] for r in secrets.candidates(frame).collect()}
     assert before[1, 17] == "see https://h/?token=" and before[0, texts[0].index(two)].endswith(',"b":"')
+
+
+def test_secrets_count_the_words_of_all_texts(spark):
+    value = "internal-window-98765432109"
+    texts = [f"x {value} y", "the internal window", "an internal Window far away from any candidate", f"again {value}"]
+    frame = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    counts = {r["word"]: r["n"] for r in secrets.word_counts(frame).collect()}
+    assert (counts["internal"], counts["window"], counts["again"]) == (2, 2, 1)
+    found = secrets.candidates(frame).withColumn("finding", secrets.F.col("doc_id"))
+    got = secrets.described(found, secrets.word_counts(frame)).collect()
+    assert [r["coverage"] for r in got] == pytest.approx([14 / len(value)] * 2)
+    assert all(r["transitions"] > -6 for r in got)
