@@ -42,9 +42,13 @@ def run_baseline(cards: DataFrame, hist: DataFrame, new: DataFrame, merchants: D
                  merchant_order: Sequence[str] | None = None) -> DataFrame:
     """Cross sums and card statistics, the most correlated features, a tuned forest, fold-averaged predictions.
 
-    A ``grid`` setting that asks for more features than were chosen raises. ``merchant_order`` decides which of several
-    rows of a merchant counts.
+    A ``grid`` setting that asks for more features than ``top`` raises before any table is read. ``merchant_order`` decides
+    which of several rows of a merchant counts.
     """
+    grid = mo.FOREST_GRID if grid is None else grid
+    wide = [s for s in grid.get("featureSubsetStrategy", ()) if s.isdigit() and int(s) > top]
+    if wide:
+        raise ValueError(f"{top} features are chosen; the grid asks for {', '.join(wide)}")
     train, test = _halves(cards)
     train, test = pp.prepare_cards(train, test)
     coded = train.unionByName(test)
@@ -57,10 +61,6 @@ def run_baseline(cards: DataFrame, hist: DataFrame, new: DataFrame, merchants: D
     names = select_by_correlation(train.drop(SPLIT), k=top, sparse_limit=None)
     matrix = mo.assemble_matrix(train, names, KEY, LABEL)
     est = mo.forest(**(forest or {}))
-    grid = mo.FOREST_GRID if grid is None else grid
-    wide = [s for s in grid["featureSubsetStrategy"] if s.isdigit() and int(s) > len(names)]
-    if wide:
-        raise ValueError(f"{len(names)} features were chosen; the grid asks for {', '.join(wide)}")
     _, best, _ = mo.grid_search(est, grid, matrix)
     fitted = mo.oof_fit_predict(matrix, mo.assemble_matrix(test, names, KEY), est.copy({est.getParam(n): v for n, v in best.items()}), seed=22)
     save_predictions(fitted, "randomforest", "all", folder)

@@ -96,12 +96,18 @@ def test_baseline_run(tables, tmp_path):
     merchants = t.merchants.withColumn("avg_purchases_lag12", F.col("avg_purchases_lag6"))
     cards = t.cards.withColumn("first_active_month", F.date_format("first_active_month", "yyyy-MM"))
     out = runs.run_baseline(cards, t.txn.filter("month_lag < 0"), t.txn.filter("month_lag >= 0"), merchants, ROW_ORDER,
-                            str(tmp_path), top=12, forest={"numTrees": 5, "minInstancesPerNode": 5})
+                            str(tmp_path), top=12, forest={"numTrees": 5, "minInstancesPerNode": 5},
+                            grid={"featureSubsetStrategy": ["all", "6"]})
     assert out.columns == ["card_id", "target"]
     assert out.filter("target IS NOT NULL").count() == t.cards.filter("split = 'test'").count()
     assert t.spark.read.parquet(f"{tmp_path}/oof").count() == t.cards.filter("split = 'train'").count()
 
 
+def test_grid_is_checked_before_anything_is_read():
+    with pytest.raises(ValueError, match="12 features"):
+        runs.run_baseline(None, None, None, None, ROW_ORDER, "", top=12, grid={"featureSubsetStrategy": ["all", "80"]})
+
+
 def test_refined_run(tables, tmp_path):
     t = tables
     out = runs.run_refined(t.cards, t.txn.filter("month_lag < 0"), t.txn.filter("month_lag >= 0"), AS_OF, str(tmp_path), now="2002-01-01",
