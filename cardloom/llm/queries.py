@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprints, language_id, licenses, mixing, ngram_join, packing, secrets, token_counts, token_files
+from . import (exact_dedup, fingerprints, language_id, licenses, mixing, ngram_join, packing, secrets, token_counts,
+               token_files, toxicity)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +162,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_secret_scan")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(documents(spark, folder))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
