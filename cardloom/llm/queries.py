@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, fingerprints, language_id, licenses, mixing, ngram_join, packing, secrets, token_counts,
+from . import (exact_dedup, fingerprints, language_id, licenses, manifest, mixing, ngram_join, packing, secrets, token_counts,
                token_files, toxicity)
 from .common import documents
 
@@ -167,3 +167,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_toxicity")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verified_rows(documents(spark, folder))
