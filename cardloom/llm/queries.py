@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, fingerprints, language_id, licenses, manifest, mixing, ngram_join, packing, secrets, token_counts,
-               token_files, toxicity)
+from . import (exact_dedup, fingerprints, language_id, licenses, manifest, mixing, ngram_join, packing, secrets, spelling,
+               token_counts, token_files, toxicity)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,11 +164,93 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(documents(spark, folder))
 
 
+#: crc32 of a text in DuckDB: its UTF-8 bytes go through a table of 256 entries that is made by the rule for one byte.
+_CRC_TABLE = """crc AS (SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))) AS v FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    listed = f"list_transform(range(1, length({digits}), 2), lambda i: ('0x' || substr({digits}, i, 2))::BIGINT)"
+    return f"xor(list_reduce([4294967295] || {listed}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _tree_sql(name: str, leaves: str, levels: int = 8) -> list[str]:
+    """CTEs ``{name}0``.. of the levels over ``leaves`` (tree, pos, size, node), with what stands left and right of each node."""
+    out = []
+    for k in range(levels + 1):
+        below = leaves if k == 0 else (
+            f"SELECT tree, pos // 16 AS pos, (max(size) + 15) // 16 AS size, CASE WHEN max(size) = 1 THEN any_value(node) "
+            f"ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node FROM {name}{k - 1} GROUP BY tree, pos // 16")
+        run = "PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN"
+        out.append(f"{name}{k} AS (SELECT *, coalesce(string_agg(node, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, "
+                   f"coalesce(string_agg(node, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM ({below}))")
+    return out
+
+
+def _fold_sql(name: str, rows: str, place: str, levels: int = 8) -> list[str]:
+    """CTEs that carry ``folded`` and ``proof`` of ``rows`` up the levels of a tree."""
+    out, last = [], rows
+    for k in range(levels):
+        out.append(f"{name}f{k} AS (SELECT r.* REPLACE (CASE WHEN x.size = 1 THEN folded ELSE sha256(x.before || folded || x.after) END AS folded, "
+                   f"proof || x.before || x.after AS proof) FROM {last} r JOIN {name}{k} x ON x.tree IS NOT DISTINCT FROM r.{name}tree "
+                   f"AND x.pos = r.{place} // {16 ** k})")
+        last = f"{name}f{k}"
+    return out
+
+
+def _manifest_sql() -> str:
+    def hashed(text: str) -> str:
+        parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    ctes = [_CRC_TABLE, f"""leaves AS (
+  SELECT doc_id, source AS tree, {hashed('text')} AS node, {_crc_sql("doc_id::VARCHAR")} % {manifest.TAMPERED} = 0 AS hit,
+         {hashed("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS changed FROM documents, crc)""",
+            "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS size FROM leaves)",
+            *_tree_sql("n", "SELECT tree, pos, size, node FROM placed"),
+            "tops AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS size, node, tree AS source FROM n8)",
+            *_tree_sql("s", "SELECT tree, pos, size, node FROM tops"),
+            """opened AS (SELECT p.doc_id, p.node AS leaf, t.node AS subroot, p.tree AS ntree, p.pos, 0 AS stree, t.pos AS place,
+  CASE WHEN hit THEN changed ELSE p.node END AS folded, '' AS proof FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.tree)""",
+            *_fold_sql("n", "opened", "pos"), *_fold_sql("s", "nf7", "place")]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.node AS verified
+FROM sf7, (SELECT node FROM s8) r"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verified_rows(documents(spark, folder))
+
+
+@query("op11_spelling_variants", f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '{spelling.LETTER}+')) AS run FROM documents),
+lowered AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM runs WHERE length(run) >= {spelling.SHORTEST}),
+hashed AS (SELECT run, {_crc_sql("id || ':' || run")} AS h FROM lowered, crc),
+words AS (
+  SELECT CASE WHEN h % {spelling.SLIPS} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+vocab AS (SELECT word, count(*) AS n FROM words WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING count(*) >= {spelling.FEWEST}),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM vocab, unnest(range(1, length(word) + 1)) u(i)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON v.word = c.cut
+  UNION SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON v.word = c.cut),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+known AS (
+  SELECT v.word, CASE WHEN near_n >= {spelling.TIMES} * v.n THEN near END AS form, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= {spelling.TIMES} * v.n THEN near_n END AS form_n FROM vocab v LEFT JOIN best b ON b.word = v.word),
+led(word, root) AS (
+  SELECT word, word FROM known UNION ALL SELECT l.word, k.form FROM led l JOIN known k ON k.word = l.root WHERE k.form IS NOT NULL),
+ends AS (SELECT l.word, l.root FROM led l JOIN known k ON k.word = l.root WHERE k.form IS NULL)
+SELECT k.word, k.form, e.root, k.n, k.n_near, k.form_n FROM known k JOIN ends e ON e.word = k.word""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.slipped(spelling.runs(documents(spark, folder)))))
+
+
 @query("op13_toxicity")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
-
-
-@query("op12_merkle_manifest")
-def op12(spark: SparkSession, folder: str) -> DataFrame:
-    return manifest.verified_rows(documents(spark, folder))
