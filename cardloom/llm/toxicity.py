@@ -2,13 +2,13 @@
 
 A word is a run of ASCII letters and digits and of other characters that are not spaces or general punctuation, after
 lower-casing. The features of a text are its distinct words, word pairs and triples in a row, and pairs with one or two words
-between them, each a 64-bit hash; a feature is there or not, however often it occurs.
+between them, each a 32-bit hash; a feature is there or not, however often it occurs.
 
 The weights are learnt by FTRL-proximal steps: every coordinate has its own rate, which falls with the gradients it has
 seen, and a weight stays 0 until its gradients exceed the L1 penalty. So few weights are left, and they are broadcast with the
 tasks. Learning is spread: blocks of about ``BLOCK`` examples run through their rows from the common state (z, n) and give
-back how it changed; the changes are averaged and the next round begins. A coordinate enters a block's state once
-``SEEN`` of its examples have it.
+back how it changed; the changes are averaged and the next round begins. A block is packed into one row once, so a round
+moves no examples. A coordinate enters a block's state if ``SEEN`` of its examples have it.
 
 At most about ``PER_LABEL`` examples of each label are drawn by a hash of the id. A second model, learnt without every
 ``APART``-th of them, tells by these how its scores must be stretched and shifted to be probabilities; the first gets the same
@@ -17,15 +17,14 @@ Scoring takes all features of every whole text, in stretches of bounded size.
 
 Defined results: a null or empty text has no feature and gets the score of the bias alone; so does any text where no labelled
 row was there to learn from, with a bias of ``PRIOR``. Labels other than 0 and 1 are not read; an id with both counts as
-toxic. Rows with a null id are neither learnt from nor held out. Copies of a text get the same score. A text of any
+toxic, and of several rows of an id the smallest text is learnt. Rows with a null id are neither learnt from nor held out. Copies of a text get the same score. A text of any
 length is cut into stretches, and features across a cut are kept. An empty table gives no rows. Columns other than the id,
 the text and the label are not read.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,9 +95,14 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, _mixed((sums[ends] - sums[begins]) * _DOWN[begins] + (ends - begins).astype(np.uint64) * np.uint64(_WORD))
 
 
+def _feature(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of a hash, never 0: that is the bias."""
+    return np.maximum((hashes >> np.uint64(32)).astype(np.uint32), np.uint32(1))
+
+
 def grams(words: np.ndarray, owner: np.ndarray, fresh: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(owner, feature) of the n-grams and skip-grams whose last word is not among the first ``fresh``."""
-    yield owner[fresh:], words[fresh:]
+    yield owner[fresh:], _feature(words[fresh:])
     for kind, steps in ((1, (1,)), (2, (1, 2)), (3, (2,)), (4, (3,))):
         reach = steps[-1]
         first = max(fresh - reach, 0)
@@ -109,8 +113,7 @@ def grams(words: np.ndarray, owner: np.ndarray, fresh: int = 0) -> Iterator[tupl
         value = words[first:first + n] * np.uint64(_PLACE)
         for k, step in enumerate(steps):
             value = _mixed(value + words[first + step:first + step + n] * np.uint64(_WORD + 2 * k)) + np.uint64(kind)
-        value = _mixed(value)
-        yield owner[first:first + n][same], value[same]
+        yield owner[first:first + n][same], _feature(_mixed(value[same]))
 
 
 def stretches(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -153,7 +156,7 @@ def stretches(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 def examples(texts: list[str | None], most: int = MOST) -> list[np.ndarray]:
     """The distinct features of each text, in ascending order; of more than ``most`` the smallest."""
-    out = [np.zeros(0, np.uint64) for _ in texts]
+    out = [np.zeros(0, np.uint32) for _ in texts]
     for words, owner, fresh in stretches(texts):
         found = list(grams(words, owner, fresh))
         owners, values = (np.concatenate([f[i] for f in found]) for i in (0, 1))
@@ -175,7 +178,7 @@ class State:
 
     @classmethod
     def empty(cls) -> State:
-        return cls(np.zeros(1, np.uint64), np.zeros(1), np.zeros(1))
+        return cls(np.zeros(1, np.uint32), np.zeros(1), np.zeros(1))
 
     def weights(self) -> np.ndarray:
         w = (np.sign(self.z) * L1 - self.z) / ((BETA + np.sqrt(self.n)) / ALPHA + L2)
@@ -193,26 +196,48 @@ class State:
         return out
 
 
-def included(rows: list[np.ndarray], seen: int = SEEN) -> list[np.ndarray]:
-    """The features of each example of a block that at least ``seen`` of its examples have."""
-    values, counts = np.unique(np.concatenate(rows), return_counts=True)
-    kept = values[counts >= min(seen, len(rows))]
-    return [np.intersect1d(r, kept, assume_unique=True) for r in rows]
+@dataclass
+class Block:
+    """Examples by the places of their features among those that have a coordinate; place 0 is the bias."""
+
+    features: np.ndarray
+    rows: list[np.ndarray]
+    labels: np.ndarray
+    apart: np.ndarray
+
+    @classmethod
+    def of(cls, examples: list[np.ndarray], labels: np.ndarray, apart: np.ndarray, seen: int = SEEN) -> Block:
+        values, counts = np.unique(np.concatenate(examples), return_counts=True)
+        kept = np.concatenate([np.zeros(1, np.uint32), values[counts >= min(seen, len(examples))]])
+        rows = [np.searchsorted(kept, np.intersect1d(x, kept, assume_unique=True)).astype(np.int32) for x in examples]
+        return cls(kept, rows, labels.astype(np.int32), apart.astype(bool))
+
+    def packed(self) -> pd.DataFrame:
+        sizes = np.array([len(r) for r in self.rows], np.int32)
+        cells = {"features": self.features, "places": np.concatenate(self.rows), "sizes": sizes, "labels": self.labels, "apart": self.apart}
+        return pd.DataFrame({k: [v.tobytes()] for k, v in cells.items()})
+
+    @classmethod
+    def unpacked(cls, row: pd.Series) -> Block:
+        sizes = np.frombuffer(row["sizes"], np.int32)
+        rows = np.split(np.frombuffer(row["places"], np.int32), np.cumsum(sizes)[:-1])
+        return cls(np.frombuffer(row["features"], np.uint32), rows, np.frombuffer(row["labels"], np.int32), np.frombuffer(row["apart"], bool))
+
+
+PACKED = "features binary, places binary, sizes binary, labels binary, apart binary"
 
 
-def pass_through(state: State, rows: list[np.ndarray], labels: np.ndarray) -> State:
-    """FTRL-proximal steps over the examples of a block, one by one; the state of the block's own coordinates."""
-    every = np.concatenate([np.zeros(1, np.uint64), *rows])  # 0 is the bias, which every example has
-    kept, at = np.unique(every, return_inverse=True)
-    own = state.on(kept)
-    z, n, marks = own.z, own.n, np.cumsum([1] + [len(r) for r in rows])
-    for low, high, label in zip(marks, marks[1:], labels):
-        here = np.concatenate([[0], at[low:high]])
+def pass_through(state: State, block: Block, order: np.ndarray) -> State:
+    """FTRL-proximal steps over a block's examples in this order, one by one; the state of the block's own coordinates."""
+    own = state.on(block.features)
+    z, n = own.z, own.n
+    for k in order:
+        here = np.concatenate([[0], block.rows[k]])
         zs, ns = z[here], n[here]
         root = np.sqrt(ns)
         w = np.where(np.abs(zs) <= L1, 0.0, (np.sign(zs) * L1 - zs) / ((BETA + root) / ALPHA + L2))
         w[0] = -zs[0] / ((BETA + root[0]) / ALPHA)
-        g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+        g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - block.labels[k]
         n[here] = ns + g * g
         z[here] = zs + g - (np.sqrt(ns + g * g) - root) / ALPHA * w
     return own
@@ -239,7 +264,7 @@ class Model:
 
     def __post_init__(self):
         self.marks = np.zeros(1 << 16, bool)
-        self.marks[(self.features & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.marks[self.features & np.uint32(0xFFFF)] = True
 
     @classmethod
     def of(cls, state: State) -> Model:
@@ -256,7 +281,7 @@ class Model:
         owners, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for words, owner, fresh in stretches(texts):
             for own, value in grams(words, owner, fresh):
-                may = self.marks[(value & np.uint64(0xFFFF)).astype(np.int64)]
+                may = self.marks[value & np.uint32(0xFFFF)]
                 own, value = own[may], value[may]
                 at = np.searchsorted(self.features, value)
                 at[at == len(self.features)] = 0
@@ -282,57 +307,51 @@ def drawn(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", p
     return stage(own), shift
 
 
-def _round(states: list[State], turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """What a block does in a round, from the states of the models before it."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        # another order in each round, the same in each run
-        frame = frame.assign(at=[zlib.crc32(f"{turn}:{x}".encode()) for x in frame["id"]]).sort_values(["at", "id", "features"])
-        model, block = int(frame["model"].iloc[0]), int(frame["block"].iloc[0])
-        got = pass_through(states[model], [np.frombuffer(x, np.uint64) for x in frame["features"]], frame["label"].to_numpy())
-        return pd.DataFrame({"model": [model], "block": [block], "features": [got.features.tobytes()], "z": [got.z.tobytes()], "n": [got.n.tobytes()]})
-
-    return run
+def _packed(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("id")
+    return Block.of(examples(list(frame["text"])), frame["label"].to_numpy(), frame["apart"].to_numpy()).packed()
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           per_label: int = PER_LABEL, block: int = BLOCK, rounds: int = ROUNDS) -> Model:
     """Weights from the labelled rows that are not held out."""
     own, shift = drawn(labels, id_col, label_col, per_label)
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"id": f["id"], "label": f["label"], "features": [x.tobytes() for x in examples(list(f["text"]))]})
-
-    # the drawn ids are bounded by ``per_label``
-    table = stage(rows.join(F.broadcast(own), "id").mapInPandas(hashed, "id string, label int, features binary"))
-    size = table.count()
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), whole(F.col(text_col)).alias("text"))
+    # the drawn ids are bounded by ``per_label``; repeated rows of one id are merged before they move
+    sample = stage(rows.join(F.broadcast(own), "id").groupBy("id").agg(F.min("label").alias("label"), F.min("text").alias("text")))
+    size = sample.count()
     if not size:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), PRIOR)
-
-    def include(frame: pd.DataFrame) -> pd.DataFrame:
-        kept = included([np.frombuffer(x, np.uint64) for x in frame["features"]])
-        return frame.assign(features=[x.tobytes() for x in kept])
-
-    table = table.withColumns({"block": F.pmod(F.xxhash64("id", F.lit(31)), F.lit(-(-size // block))).cast("int"),
-                               "apart": F.pmod(F.xxhash64("id", F.lit(5)), F.lit(APART)) == 0})
-    table = stage(table.groupBy("block").applyInPandas(include, table.schema))
+        return Model(np.zeros(0, np.uint32), np.zeros(0), PRIOR)
+    sample = sample.withColumns({"block": F.pmod(F.xxhash64("id", F.lit(31)), F.lit(-(-size // block))),
+                                 "apart": F.pmod(F.xxhash64("id", F.lit(5)), F.lit(APART)) == 0})
+    table = stage(sample.groupBy("block").applyInPandas(_packed, PACKED))
     # model 0 is learnt without the examples set apart, model 1 with all
-    both = table.withColumn("model", F.explode(F.when(F.col("apart"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))))
     states = [State.empty(), State.empty()]
     for turn in range(rounds):
-        done = both.groupBy("model", "block").applyInPandas(_round(states, turn), "model int, block int, features binary, z binary, n binary").orderBy(
-            "model", "block").collect()  # a row per block, about ``PER_LABEL`` * 2 / ``block`` of them
-        states = [merged(s, [State(*(np.frombuffer(r[c], t) for c, t in (("features", np.uint64), ("z", float), ("n", float))))
+        def run(frames: Iterator[pd.DataFrame], states: list[State] = states, turn: int = turn) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for _, row in frame.iterrows():
+                    part = Block.unpacked(row)
+                    # another order in each round, the same in each run
+                    order = np.random.default_rng(turn).permutation(len(part.rows))
+                    for model, state in enumerate(states):
+                        got = pass_through(state, part, order if model else order[~part.apart[order]])
+                        yield pd.DataFrame({"model": [model], "features": [got.features.tobytes()], "z": [got.z.tobytes()], "n": [got.n.tobytes()]})
+
+        # two rows per block, and about 2 * ``per_label`` / ``block`` blocks
+        done = table.mapInPandas(run, "model int, features binary, z binary, n binary").orderBy("model", "features").collect()
+        states = [merged(s, [State(*(np.frombuffer(r[c], t) for c, t in (("features", np.uint32), ("z", float), ("n", float))))
                              for r in done if r["model"] == k]) for k, s in enumerate(states)]
     models = [Model.of(s) for s in states]
 
     def tried(frames: Iterator[pd.DataFrame], model: Model = models[0]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"id": f["id"], "label": f["label"], "logit": [model.logit(np.frombuffer(x, np.uint64)) for x in f["features"]]})
+        for frame in frames:
+            for _, row in frame.iterrows():
+                part = Block.unpacked(row)
+                own = np.flatnonzero(part.apart)
+                yield pd.DataFrame({"label": part.labels[own], "logit": [model.logit(part.features[part.rows[k]]) for k in own]})
 
-    pairs = table.filter("apart").mapInPandas(tried, "id string, label int, logit double").orderBy("id", "label", "logit").collect()
+    pairs = table.mapInPandas(tried, "label int, logit double").orderBy("logit", "label").collect()
     slope, move = stretch(np.array([r["logit"] for r in pairs]), np.array([r["label"] for r in pairs]))
     return Model(models[1].features, models[1].weights * slope, models[1].bias * slope + move + shift)
 
