@@ -75,17 +75,17 @@ def positions(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
     return ranged.join(runs, [tree, "_part"]).withColumn("at", F.col("_id") + F.col("_shift")).drop("_id", "_part", "_shift")
 
 
-def _tree(frame: pd.DataFrame) -> list[bytes]:
-    """A superblock's levels, from its nodes to its top: ``LEVELS`` of them, or until one node is left if it is its whole tree."""
-    levels, high = [b"".join(frame["node"])], LEVELS if int(frame["size"].iloc[0]) > FAN ** LEVELS else None
+def _tree(frame: pd.DataFrame, height: int) -> list[bytes]:
+    """A superblock's levels, from its nodes to its top: ``height`` of them, or until one node is left if it is its whole tree."""
+    levels, high = [b"".join(frame["node"])], height if int(frame["size"].iloc[0]) > FAN ** height else None
     while len(levels[-1]) > SIZE if high is None else len(levels) <= high:
         last = levels[-1]
         levels.append(b"".join([digest(last[k:k + FAN * SIZE]) for k in range(0, len(last), FAN * SIZE)]))
     return levels
 
 
-def _reduced(frame: pd.DataFrame) -> pd.DataFrame:
-    top = _tree(frame.sort_values("at", kind="stable"))[-1]
+def _reduced(frame: pd.DataFrame, height: int) -> pd.DataFrame:
+    top = _tree(frame.sort_values("at", kind="stable"), height)[-1]
     return pd.DataFrame({"tree": [frame["tree"].iloc[0]], "at": [int(frame["block"].iloc[0])], "node": [top]})
 
 
@@ -106,18 +106,18 @@ def fold(node: bytes, path: list[bytes]) -> bytes:
     return node
 
 
-def _paths(frame: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _paths(frame: pd.DataFrame, outer: pd.DataFrame, height: int) -> pd.DataFrame:
     """The siblings on the way to the root for each node of a superblock, which is a superblock of the layer below."""
     frame = frame.sort_values("at", kind="stable")
-    levels, above = _tree(frame), list(outer["path"].iloc[0])
+    levels, above = _tree(frame, height), list(outer["path"].iloc[0])
     return pd.DataFrame({"tree": frame["tree"], "block": frame["at"], "path": [siblings(levels, k) + above for k in range(len(frame))],
                          "subroot": outer["subroot"].iloc[0], "root": outer["root"].iloc[0]})
 
 
-def _proofs(frame: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _proofs(frame: pd.DataFrame, outer: pd.DataFrame, height: int) -> pd.DataFrame:
     """Local reduction, joined proof and folding of every leaf of a superblock."""
     frame = frame.sort_values("at", kind="stable")
-    levels, above, proofs, folded = _tree(frame), list(outer["path"].iloc[0]), [], []
+    levels, above, proofs, folded = _tree(frame, height), list(outer["path"].iloc[0]), [], []
     for k, seen in enumerate(frame["seen"]):
         path = siblings(levels, k) + above
         proofs.append(digest(b"".join(path)).hex())
@@ -127,40 +127,41 @@ def _proofs(frame: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
                          "root": root, "proof_sha256": proofs, "folded_root": folded, "verified": [f == root for f in folded]})
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("at") / FAN ** LEVELS))
+def _blocks(nodes: DataFrame, height: int) -> DataFrame:
+    return nodes.withColumn("block", F.floor(F.col("at") / FAN ** height))
 
 
-def upward(nodes: DataFrame) -> list[DataFrame]:
+def upward(nodes: DataFrame, height: int = LEVELS) -> list[DataFrame]:
     """Layers of (tree, at, node, size, ...), each made of the superblocks of the one before; in the last, every tree has one node."""
     layers = [nodes]
     while layers[-1].filter("size > 1").limit(1).count():
         here = layers[-1].select("tree", "at", "node", "size")
-        several = _blocks(here.filter("size > 1"))
-        sizes = several.groupBy("tree").agg((F.floor((F.max("size") - 1) / FAN ** LEVELS) + 1).alias("size"))
-        up = several.groupBy("tree", "block").applyInPandas(_reduced, NODES)
+        several = _blocks(here.filter("size > 1"), height)
+        sizes = several.groupBy("tree").agg((F.floor((F.max("size") - 1) / FAN ** height) + 1).alias("size"))
+        up = several.groupBy("tree", "block").applyInPandas(lambda frame: _reduced(frame, height), NODES)
         layers.append(stage(up.join(sizes, "tree").unionByName(here.filter("size = 1"))))
     return layers
 
 
-def _cogrouped(nodes: DataFrame, outer: DataFrame, make: Callable, schema: str | StructType) -> DataFrame:
+def _cogrouped(nodes: DataFrame, outer: DataFrame, make: Callable, schema: str | StructType, height: int) -> DataFrame:
     """``make`` of each superblock and the one row that its top has from above."""
     keyed = outer.withColumnsRenamed({"tree": "_tree", "block": "_block"})
-    return _blocks(nodes).groupBy("tree", "block").cogroup(keyed.groupBy("_tree", "_block")).applyInPandas(make, schema)
+    return _blocks(nodes, height).groupBy("tree", "block").cogroup(keyed.groupBy("_tree", "_block")).applyInPandas(
+        lambda frame, above: make(frame, above, height), schema)
 
 
-def downward(layers: list[DataFrame], top: DataFrame) -> DataFrame:
+def downward(layers: list[DataFrame], top: DataFrame, height: int = LEVELS) -> DataFrame:
     """(tree, block, path, subroot, root) for the superblocks below ``layers``, whose last one has one node per tree."""
     for nodes in reversed(layers):
         # a tree of one node has nothing to add
         single = top.join(nodes.filter("size = 1").select("tree"), "tree", "left_semi")
-        top = stage(_cogrouped(nodes.filter("size > 1"), top.join(nodes.filter("size > 1 AND at = 0").select("tree"), "tree", "left_semi"), _paths, PATHS)
-                    .unionByName(single))
+        several = top.join(nodes.filter("size > 1 AND at = 0").select("tree"), "tree", "left_semi")
+        top = stage(_cogrouped(nodes.filter("size > 1"), several, _paths, PATHS, height).unionByName(single))
     return top
 
 
 def verified_rows(docs: DataFrame, source: str = "source", columns: tuple[str, ...] = COLUMNS, id_col: str = "doc_id", text_col: str = "text",
-                  tamper_every: int = TAMPERED) -> DataFrame:
+                  tamper_every: int = TAMPERED, height: int = LEVELS) -> DataFrame:
     """One row per input row: its id, leaf, subroot, root and proof, and what its tampered form folds to.
 
     The rows whose id has a crc32 that ``tamper_every`` divides are tampered with: their text loses its capital letters.
@@ -170,15 +171,16 @@ def verified_rows(docs: DataFrame, source: str = "source", columns: tuple[str, .
     # the null source comes before all others, which keep their order byte by byte
     tree = F.when(F.col(source).isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), whole(F.col(source))))
     leaves = docs.select(tree.alias("tree"), F.col(id_col).alias("doc_id"), leaf(own).alias("node"), F.when(hit, leaf(changed)).alias("changed"))
-    layers = upward(stage(positions(leaves, "tree", ["doc_id", "node", "changed"])
-                          .withColumn("seen", F.coalesce("changed", "node")).drop("changed")))
+    # staged, or the ranges of the partitioning would be found by hashing every text once more
+    layers = upward(stage(positions(stage(leaves), "tree", ["doc_id", "node", "changed"])
+                          .withColumn("seen", F.coalesce("changed", "node")).drop("changed")), height)
     subroots = layers[-1].select(F.lit("sources").alias("tree"), F.col("tree").alias("source"), "node")
-    over = upward(stage(positions(subroots, "tree", ["source"])))
+    over = upward(stage(positions(subroots, "tree", ["source"])), height)
     start = over[-1].select("tree", F.col("at").alias("block"), F.array().cast("array<binary>").alias("path"),
                             F.col("node").alias("subroot"), F.col("node").alias("root"))
     # from the place among the subroots back to the source
-    tops = over[0].join(downward(over, start).select(F.col("block").alias("at"), "path", "root"), "at").select(
+    tops = over[0].join(downward(over, start, height).select(F.col("block").alias("at"), "path", "root"), "at").select(
         F.col("source").alias("tree"), F.lit(0).cast("long").alias("block"), "path", F.col("node").alias("subroot"), "root")
     schema = docs.select(F.col(id_col).alias("doc_id")).schema.add("leaf", "string").add("subroot", "string").add("root", "string").add(
         "proof_sha256", "string").add("folded_root", "string").add("verified", "boolean")
-    return _cogrouped(layers[0], downward(layers[1:], stage(tops)), _proofs, schema)
+    return _cogrouped(layers[0], downward(layers[1:], stage(tops), height), _proofs, schema, height)
