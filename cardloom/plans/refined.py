@@ -1,9 +1,11 @@
 """The refined feature set: profiles, decays, pivots and two-level statistics per card.
 
-The facts are read by a handful of roll-ups and never joined: what needs the
-card's activation month, last purchase day or a group mean is computed on
-(card, day) or (card, category value) totals. A card has at most one row per
-calendar day there, whatever its number of transactions.
+The facts are cleaned, projected and staged once. Moments, day bounds, decays and
+shares before activation come from one table of mergeable states per (card,
+table, flag, month, day); distinct values, pivots and quantiles from roll-ups of
+the staged rows. No family joins facts: what needs the card's activation month,
+last purchase day or a group mean is computed on these totals. A card has at most
+a few rows per calendar day there, whatever its number of transactions.
 """
 
 from __future__ import annotations
@@ -14,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates, scalars
 from ..functions.semantics import dbl, div_inf
-from ..operators import aggregate as ag, pivot as pv, quantile as qt
+from ..operators import aggregate as ag, pivot as pv, quantile as qt, states as st
 from ..operators.clean import flag_outliers, prune_by_name, pruned_by_name
 from ..operators.encode import target_encode
 from ..operators.joins import join_features
 from ..operators.skew import keyed_join
+from ..session import staged
 
 KEY = "card_id"
 # Statistics of the base family.
@@ -73,22 +76,72 @@ def tag_rows(hist: DataFrame, new: DataFrame) -> DataFrame:
     return hist.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
 
 
-def base_statistics(rows: DataFrame, as_of: str, segments: Mapping[str, str] = BASE_SEGMENTS) -> DataFrame:
-    """Statistics of amounts, dates and ratios per card for every segment in one pass."""
+#: Columns that the families read.
+FACT_COLUMNS = (KEY, "is_new", "authorized_flag", "category_1", "category_2", "category_3", "installments", "month_lag", "purchase_amount",
+                "purchase_date", "purchase_date_floorday", "month", "hour", "weekofyear", "dayofweek", "weekend", "year",
+                "merchant_id", "merchant_category_id", "subsector_id", "city_id", "state_id")
+#: Keys of the state table; every segment is a condition on them.
+STATE_KEYS = (KEY, "is_new", "authorized_flag", "month_lag", "purchase_date_floorday")
+#: What the states keep of each row-level column: the highest power of deviations.
+STATE_COLUMNS = {"category_1": 1, "category_2": 1, "category_3": 1, "installments": 2, "hour": 2, "price": 2, "duration": 3,
+                 "amount_month_ratio": 3, "purchase_amount": 2, "month_diff": 1, "moment": 1}
+# Functions of the day, which need no state of their own.
+DAY_PARTS = ("month", "weekofyear", "dayofweek", "weekend", "year")
+
+
+def staged_rows(rows: DataFrame) -> DataFrame:
+    """The columns that the families read, written once."""
+    return staged(rows.select(*[c for c in FACT_COLUMNS if c in rows.columns]))
+
+
+def state_table(rows: DataFrame, as_of: str) -> DataFrame:
+    """Mergeable states per (card, table, flag, month, day). Later rows are folded the same way and merged in by ``merge_states``."""
     df = rows.withColumn("month_diff", dates.month_diff(as_of, "purchase_date", "month_lag")).withColumns({
         "price": div_inf("purchase_amount", "installments"),
         "duration": dbl("purchase_amount") * F.col("month_diff"),
         "amount_month_ratio": div_inf("purchase_amount", "month_diff"),
-        "_amount": F.col("purchase_amount"),
-        "_key": F.col(KEY),
-        "purchase_date": dates.epoch_seconds("purchase_date")})
-    spec = {("_key" if c == KEY else c): s for c, s in BASE_SPEC.items()}
+        "moment": dates.epoch_seconds("purchase_date")})
+    return st.fold(df, STATE_KEYS, STATE_COLUMNS, {"hour": CALENDAR["hour"]}, [F.max("purchase_date").alias("last_moment")])
+
+
+def merge_states(states: DataFrame, later: DataFrame) -> DataFrame:
+    """The states of old and later rows; a day that both have is merged."""
+    both = states.unionByName(later)
+    last = both.groupBy(*STATE_KEYS).agg(F.max("last_moment").alias("last_moment")).withColumnsRenamed({k: f"_{k}" for k in STATE_KEYS})
+    merged = st.merge(both.drop("last_moment"), STATE_KEYS, STATE_COLUMNS, ["hour"])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in STATE_KEYS]
+    return merged.join(last, same).drop(*[f"_{k}" for k in STATE_KEYS])
+
+
+def _with_key_states(states: DataFrame) -> DataFrame:
+    """With the states of the keys and of the functions of the day."""
+    parts = {n: c for n, c in dates.day_parts("purchase_date_floorday").items() if n in DAY_PARTS}
+    return states.withColumns(parts).withColumns({
+        **{f"_{c}": st.constant(F.col(c), power=2) for c in (*DAY_PARTS, "month_lag")},
+        "_flag": st.constant(F.col("authorized_flag"), power=1), "_key": st.constant(F.col(KEY), power=1)})
+
+
+def base_statistics(rows: DataFrame, as_of: str, segments: Mapping[str, str] = BASE_SEGMENTS, states: DataFrame | None = None) -> DataFrame:
+    """Statistics of amounts, dates and ratios per card for every segment, from the state table."""
+    states = state_table(rows, as_of) if states is None else states
+    own = {c: f"_{c}" for c in (*DAY_PARTS, "month_lag")} | {KEY: "_key", "purchase_date": "moment"}
+    spec = {own.get(c, c): s for c, s in BASE_SPEC.items()}
+    of = {v: k for k, v in own.items()}
 
     def name(seg, c, s):
-        return f"{seg}{KEY if c == '_key' else c}_{s}"
+        return f"{seg}{of.get(c, c)}_{s}"
 
-    stats = ag.segmented_agg(df, KEY, spec, segments, name, CALENDAR)
-    return stats.join(group_mean_means(df, segments), KEY, "left")
+    calendar = {f"_{c}": st.mask(c, *d, c) for c, d in CALENDAR.items() if c in DAY_PARTS}
+    table = _with_key_states(states).withColumns({"_month_lag_key": F.col("month_lag"), "_year_key": F.col("year")})
+    counted = {c: ("nunique",) for c in ("_month_lag_key", "_year_key")}
+    spec = {c: [s for s in stats if not (s == "nunique" and c in ("_month_lag", "_year"))] for c, stats in spec.items()}
+    of |= {"_month_lag_key": "month_lag", "_year_key": "year"}
+    stats = st.statistics(table, KEY, {c: s for c, s in spec.items() if s} | counted, segments, name, calendar, list(counted))
+    # least and largest values have the type of their column
+    kinds = dict(rows.dtypes) | {"purchase_date": "bigint"}
+    stats = stats.select(KEY, *[F.col(n).cast(kinds[c]) if s in ("min", "max") and c in kinds else F.col(n)
+                                for seg in segments for c, own in BASE_SPEC.items() for s in own for n in [f"{seg}{c}_{s}"]])
+    return stats.join(group_mean_means(rows, segments), KEY, "left")
 
 
 def group_mean_means(df: DataFrame, segments: Mapping[str, str]) -> DataFrame:
@@ -98,7 +151,7 @@ def group_mean_means(df: DataFrame, segments: Mapping[str, str]) -> DataFrame:
     not joined to them.
     """
     segs = list(segments)
-    rows = df.select(KEY, F.col("_amount").alias("_a"), *[F.expr(segments[s]).alias(f"_in{i}") for i, s in enumerate(segs)],
+    rows = df.select(KEY, F.col("purchase_amount").alias("_a"), *[F.expr(segments[s]).alias(f"_in{i}") for i, s in enumerate(segs)],
                      F.explode(F.array(*[F.struct(F.lit(c).alias("column"), dbl(c).alias("value")) for c in GROUP_MEANS])).alias("_s"))
     totals = (rows.select(KEY, "_a", *[f"_in{i}" for i in range(len(segs))], "_s.*").filter(F.col("value").isNotNull())
               .groupBy(KEY, "column", "value").agg(
@@ -118,13 +171,13 @@ def group_mean_means(df: DataFrame, segments: Mapping[str, str]) -> DataFrame:
     return joined.groupBy(KEY).agg(*out)
 
 
-def daily_totals(rows: DataFrame, segments: Mapping[str, str] = PROFILE_SEGMENTS) -> DataFrame:
+def daily_totals(states: DataFrame, segments: Mapping[str, str] = PROFILE_SEGMENTS) -> DataFrame:
     """(card, is_new, day): flagged-row count and amount per segment, and days since the card's last day of that table."""
-    segs = list(segments)
-    daily = rows.groupBy(KEY, "is_new", F.col("purchase_date_floorday").alias("day")).agg(
-        *[F.count(F.when(F.expr(segments[s]), F.col("authorized_flag"))).alias(f"n_{i}") for i, s in enumerate(segs)],
-        *[F.sum(F.when(F.expr(segments[s]), dbl("purchase_amount"))).alias(f"amount_{i}") for i, s in enumerate(segs)],
-        *[F.count(F.when(F.expr(segments[s]), F.col("purchase_amount"))).alias(f"amounts_{i}") for i, s in enumerate(segs)])
+    flagged, amount = F.when(F.col("authorized_flag").isNotNull(), F.col(st.ROWS)).otherwise(F.lit(0)), F.col("purchase_amount")
+    daily = states.groupBy(KEY, "is_new", F.col("purchase_date_floorday").alias("day")).agg(*[
+        agg.alias(f"{name}_{i}") for i, p in enumerate(segments.values()) for name, agg in (
+            ("n", F.coalesce(F.sum(F.when(F.expr(p), flagged)), F.lit(0).cast("bigint"))), ("amount", F.sum(F.when(F.expr(p), amount["total"]))),
+            ("amounts", F.coalesce(F.sum(F.when(F.expr(p), amount["n"])), F.lit(0).cast("bigint"))))])
     # at most one row per calendar day in a window group
     last = F.max("day").over(Window.partitionBy(KEY, "is_new"))
     return daily.withColumn("since", F.datediff(last, F.col("day")))
@@ -190,36 +243,34 @@ def _days(later: Column, earlier: Column) -> Column:
     return F.datediff(later, earlier)
 
 
-def profile_totals(rows: DataFrame, as_of: str, segments: Mapping[str, str] = PROFILE_SEGMENTS) -> DataFrame:
+def profile_totals(rows: DataFrame, states: DataFrame, segments: Mapping[str, str] = PROFILE_SEGMENTS) -> DataFrame:
     """Counts, means, sums, day bounds and rows-per-distinct ratios per card and segment."""
-    df = rows.withColumn("month_diff", dates.month_diff(as_of, "purchase_date", "month_lag"))
-    exprs = []
-    for seg, pred in segments.items():
-        p = F.expr(pred)
-        n = F.count(F.when(p, F.lit(1)))
+    def bounds(seg, within):
+        day, lag = within(F.col("purchase_date_floorday")), within(F.col("month_lag"))
+        return [F.min(day).alias(f"{seg}first_day"), F.max(day).alias(f"{seg}last_day"), F.max(within(F.col("last_moment"))).alias(f"{seg}last_moment"),
+                F.min(lag).alias(f"{seg}month_lag_min"), F.max(lag).alias(f"{seg}month_lag_max")]
+
+    spec = {}
+    for seg in segments:
         for c, stats in _profile_spec(seg).items():
-            for s in stats:
-                exprs.append(F.when(n > 0, ag.stat(s, F.col(c), p)).alias(f"{seg}{c}_{s}"))
-        day = F.when(p, F.col("purchase_date_floorday"))
-        exprs += [F.min(day).alias(f"{seg}first_day"), F.max(day).alias(f"{seg}last_day"),
-                  F.max(F.when(p, F.col("purchase_date"))).alias(f"{seg}last_moment"),
-                  F.min(F.when(p, F.col("month_lag"))).alias(f"{seg}month_lag_min"),
-                  F.max(F.when(p, F.col("month_lag"))).alias(f"{seg}month_lag_max")]
-    totals = df.groupBy(KEY).agg(*exprs)
-    uniq = ag.distinct_counts(df, KEY, PROFILE_DISTINCT, segments, lambda seg, c: f"{seg}card_id_{c}_nunique")
+            spec.setdefault("_flag" if c == "authorized_flag" else c, set()).update(stats)
+    totals = st.statistics(_with_key_states(states), KEY, {c: sorted(s) for c, s in spec.items()}, segments,
+                           lambda seg, c, s: f"{seg}{'authorized_flag' if c == '_flag' else c}_{s}", also=bounds)
+    uniq = ag.distinct_counts(rows, KEY, PROFILE_DISTINCT, segments, lambda seg, c: f"{seg}card_id_{c}_nunique")
     return totals.join(uniq, KEY)
 
 
 def card_profile(rows: DataFrame, cards: DataFrame, as_of: str, hist_now: str = "2018-03-01", new_now: str = "2018-05-01",
-                 features: Sequence[str] | None = None, drop_pruned: bool = False) -> DataFrame:
+                 features: Sequence[str] | None = None, drop_pruned: bool = False, states: DataFrame | None = None) -> DataFrame:
     """The four profile families (authorised, history, new, last two months) in one row per card.
 
     ``features`` fixes the pivot columns; otherwise they are found from the
     data. ``drop_pruned`` skips pivot columns that the final name rules remove.
     """
     df = rows.withColumn("month_diff", dates.month_diff(as_of, "purchase_date", "month_lag"))
-    totals = profile_totals(rows, as_of)
-    daily = daily_totals(rows)
+    states = staged(state_table(rows, as_of)) if states is None else states
+    totals = profile_totals(rows, states)
+    daily = daily_totals(states)
     ranks = _order_statistics(df, PROFILE_SEGMENTS)
     rollup = pv.value_rollup(rows, KEY, PIVOTS, "merchant_id", "purchase_date_floorday", PROFILE_SEGMENTS)
     pivoted = pv.pivot_features(rollup, KEY, list(PROFILE_SEGMENTS), SHARE_PIVOTS)
@@ -365,6 +416,8 @@ def refined_features(cards: DataFrame, rows: DataFrame, as_of: str, now: str = "
     train = df.filter("split = 'train'")
     for f in ("feature_1", "feature_2", "feature_3"):
         df = target_encode(train, df, f, "outliers", f"{f}_outliers_mean")
-    profile = card_profile(rows, cards, as_of, hist_now or now, new_now, drop_pruned=True)
-    df = join_features(df, [base_statistics(rows, as_of), profile, two_level_features(rows)], KEY)
+    rows = staged_rows(rows)
+    states = staged(state_table(rows, as_of))
+    profile = card_profile(rows, cards, as_of, hist_now or now, new_now, drop_pruned=True, states=states)
+    df = join_features(df, [base_statistics(rows, as_of, states=states), profile, two_level_features(rows)], KEY)
     return prune_by_name(final_ratios(df), keep=(KEY, "target", "split", "outliers"))

@@ -76,3 +76,10 @@ def shared_folder(spark: SparkSession) -> str:
     """A fresh path under the shared checkpoint folder, for staged tables."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write an intermediate that several steps read once, as Parquet in the shared folder, and read it back by column."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

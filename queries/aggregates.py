@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from cardloom.operators import aggregate as ag, quantile as qt
+from cardloom.operators import aggregate as ag, quantile as qt, states as st
 
 from cardloom.operators.skew import keyed_join
+from cardloom.session import staged
 
 from cardloom.sources.fixtures import ROW_ORDER
 
@@ -192,3 +193,30 @@ WITH s AS (SELECT card_id, category_3, count(DISTINCT purchase_date) AS part_n F
 SELECT s.card_id, s.category_3, part_n, total_n, CAST(part_n AS DOUBLE) / total_n AS share FROM s JOIN g ON g.card_id = s.card_id""")
 def _(t):
     return ag.share_of_total(t.txn, "card_id", "category_3", "purchase_date")
+_MERGED = {"amount_units": ("sum", "mean", "std", "skew", "min", "max", "count"), "installments": ("mean", "var", "sum")}
+
+
+@query("a27_merged_states", "SELECT card_id, " + ", ".join(
+    [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {e.format(w=f'FILTER ({p})')} END AS {c}{seg}" for seg, p in (("_hist", "month_lag < 0"), ("_new", "month_lag >= 0"), ("", "TRUE")) for c, e in (
+        ("amount_units_sum", "coalesce(sum(amount_units) {w}, 0)"), ("amount_units_mean", "avg(amount_units) {w}"),
+        ("amount_units_std", "round(stddev_samp(amount_units) {w}, 2)"),
+        ("amount_units_skew", "CASE WHEN min(amount_units) {w} < max(amount_units) {w} THEN round(skewness(amount_units) {w}, 6) END"),
+        ("amount_units_min", "min(amount_units) {w}"), ("amount_units_max", "max(amount_units) {w}"), ("amount_units_count", "count(amount_units) {w}"),
+        ("installments_mean", "round(avg(installments) {w}, 6)"), ("installments_var", "round(var_samp(installments) {w} + 0.0000037::DOUBLE, 5)"),
+        ("installments_sum", "CAST(coalesce(sum(installments) {w}, 0) AS DOUBLE)"))]
+    + ["count(DISTINCT month_lag) AS month_lag_nunique"]) + " FROM txn GROUP BY card_id")
+def _(t):
+    # the months up to the last but two are folded first, the later ones are appended
+    keys, columns = ["card_id", "month_lag"], st.powers(_MERGED)
+    early = staged(st.fold(t.txn.filter("month_lag < 0"), keys, columns))
+    later = st.fold(t.txn.filter("month_lag >= 0"), keys, columns)
+    states = st.append(early, later, keys, columns).withColumn("lag", F.col("month_lag"))
+    spec = dict(_MERGED) | {"lag": ("nunique",)}
+    df = st.statistics(states, "card_id", spec, {"_hist": "month_lag < 0", "_new": "month_lag >= 0", "": None}, by_key=["lag"])
+    digits = {"amount_units_std": (2, 0.0), "amount_units_skew": (6, 0.0), "installments_mean": (6, 0.0), "installments_var": (5, 0.0000037)}
+    names = [f"{c}_{s}{seg}" for seg in ("_hist", "_new", "") for c, own in _MERGED.items() for s in own]
+    of = {n: next((d for k, d in digits.items() if n.startswith(k)), None) for n in names}
+    return df.select("card_id", *[F.round(F.col(n) + of[n][1], of[n][0]).alias(n) if of[n] else F.col(n) for n in names],
+                     F.col("lag_nunique").alias("month_lag_nunique"))
+
+

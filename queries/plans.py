@@ -163,7 +163,7 @@ _BASE_DIGITS = {"category_3_mean": 6, "weekofyear_std": 6, "amount_month_ratio_m
     f"avg(purchase_amount) FILTER ({p}) OVER (PARTITION BY category_2) AS m2_{s}" for s, p in _BASE) + " FROM crow) SELECT card_id, "
     + ",".join(_base_sql(s, p) for s, p in _BASE) + " FROM y GROUP BY card_id")
 def _(t):
-    df = rf.base_statistics(_rows(t), AS_OF)
+    df = rf.base_statistics(rf.staged_rows(_rows(t)), AS_OF)
     return df.select("card_id", *[
         F.round(F.col(f"{s}{c}"), _BASE_DIGITS[c]).alias(f"{s}{c}") if c in _BASE_DIGITS else F.col(f"{s}{c}")
         for s, _ in _BASE for c in _BASE_COLS])
@@ -222,7 +222,7 @@ _FOUND = ["category_3_cnt_pivot_1", "weekend_cnt_pivot_1", "category_2_day_nuniq
 
 def _profile(t):
     names = [s + n for s in rf.PROFILE_SEGMENTS for n in _FOUND]
-    return rf.card_profile(_rows(t), t.cards, AS_OF, "2002-01-01", "2002-03-01", features=names)
+    return rf.card_profile(rf.staged_rows(_rows(t)), t.cards, AS_OF, "2002-01-01", "2002-03-01", features=names)
 
 
 @query("c07_card_profile", f"WITH {_ROWS}, {_REF} SELECT card_id, " + ", ".join(c for s, p in _SEGS for c in _profile_sql(s, p)) + " FROM ref GROUP BY card_id")
