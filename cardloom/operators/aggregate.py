@@ -2,9 +2,10 @@
 
 Skew: every aggregate here is a plain partial/final aggregate, so a card that
 holds a third of the rows leaves each map task as one partial state. Distinct
-counts never build a set: the values are first de-duplicated by
-(key, column, value), which spreads a hot key over its values, and only then
-counted per key.
+counts never build a set. Whole numbers are bits: of a column with a narrow range
+a few words per key inside one aggregate, of any other one word per (key, value
+divided by 64), which spreads a hot key and merges over days and segments by OR.
+Other values are de-duplicated by (key, value) and only then counted.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.semantics import dbl, div_inf, skew_g1
+from ..session import staged
 from .skew import keyed_join
 
 
@@ -63,14 +65,15 @@ def stat(name: str, c: Column, pred: Column | None = None) -> Column:
 
 def segmented_agg(df: DataFrame, key: str, spec: Spec, segments: Segments,
                   name=lambda seg, c, s: f"{c}_{s}{seg}",
-                  domains: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
+                  domains: Mapping[str, tuple[int, int]] | None = None, is_staged: bool = False) -> DataFrame:
     """``{column: [statistics]}`` per key for every segment in one pass.
 
     Keys without rows in a
     segment get NULL for that segment's statistics. ``domains`` lists integer
     columns known to stay within (low, high), at most 63 values wide: their
     distinct counts are bit masks inside the same aggregate. A value outside a
-    stated domain raises an error instead of being miscounted.
+    stated domain raises an error instead of being miscounted. ``is_staged``: the
+    rows are a staged table, so that distinct counts need not stage their columns.
     """
     domains = dict(domains or {})
     exprs, wide = [], []
@@ -89,7 +92,7 @@ def segmented_agg(df: DataFrame, key: str, spec: Spec, segments: Segments,
         return base
     names = {(seg, c): out for seg, c, out in wide}
     cols = list(dict.fromkeys(c for _, c, _ in wide))
-    counts = distinct_counts(df, key, cols, segments, lambda seg, c: names[(seg, c)])
+    counts = distinct_counts(df, key, cols, segments, lambda seg, c: names[(seg, c)], is_staged)
     joined = base.join(counts, key, "left")
     order = [name(seg, c, s) for seg in segments for c, stats in spec.items() for s in stats]
     return joined.select(key, *[F.col(f"`{o}`") for o in order])
@@ -124,27 +127,78 @@ def _texts(df: DataFrame):
     return lambda c: ((F.col(c) + F.lit(0.0)) if c in floats else F.col(c)).cast("string")
 
 
+#: Bits of a word that are used, and words of a column that are kept side by side in one row per key.
+BITS, WORDS = 63, 4
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def value_bits(df: DataFrame, keys: Sequence[str], c: str, flags: Sequence[Column] | None = None) -> DataFrame:
+    """(keys, word, bits_i): which whole numbers of ``c`` the groups have, ``BITS`` of them in a word, per condition.
+
+    Tables of several days or months merge by ``merge_bits``.
+    """
+    v, flags = F.col(c), [F.lit(True)] if flags is None else list(flags)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(v, F.lit(BITS)).cast("int"))
+    rows = df.filter(v.isNotNull()).select(*keys, F.floor(v / BITS).cast("bigint").alias("word"), bit.alias("_bit"), *[
+        f.alias(f"_in{i}") for i, f in enumerate(flags)])
+    return rows.groupBy(*keys, "word").agg(*[
+        F.coalesce(F.bit_or(F.when(F.col(f"_in{i}"), F.col("_bit"))), F.lit(0).cast("bigint")).alias(f"bits_{i}") for i in range(len(flags))])
+
+
+def merge_bits(bits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The bits of coarser groups, or of several tables put together."""
+    return bits.groupBy(*keys, "word").agg(*[F.bit_or(c).alias(c) for c in bits.columns if c.startswith("bits_")])
+
+
+def count_bits(bits: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The number of different values per group, one column per condition."""
+    return bits.groupBy(*keys).agg(*[F.sum(F.bit_count(f"bits_{i}")).cast("bigint").alias(n) for i, n in enumerate(names)])
+
+
 def distinct_counts(df: DataFrame, key: str, cols: Sequence[str], segments: Segments,
-                    name=lambda seg, c: f"{c}_nunique{seg}") -> DataFrame:
+                    name=lambda seg, c: f"{c}_nunique{seg}", is_staged: bool = False) -> DataFrame:
     """Exact number of distinct non-NULL values per key, column and segment.
 
-    Rows are unpivoted once, whatever the number of segments, and merged by
-    (key, slot, value) on the map side before the first shuffle.
+    The key, the columns and the segments' marks are staged once, unless ``is_staged`` says that ``df`` is a staged table;
+    every column is then read by itself.
     """
-    segs = list(segments)
+    segs, cols = list(segments), list(cols)
     flags = [F.lit(True) if segments[s] is None else F.coalesce(predicate(segments[s]), F.lit(False)) for s in segs]
-    text = _texts(df)
-    long = (df.select(key, *[f.alias(f"_in{i}") for i, f in enumerate(flags)],
-                      F.explode(slot_rows(cols, text)).alias("_s"))
-            .select(key, *[f"_in{i}" for i in range(len(segs))], "_s.slot", "_s.value"))
-    seen = long.groupBy(key, "slot", "value").agg(*[F.bool_or(f"_in{i}").alias(f"_in{i}") for i in range(len(segs))])
-    exprs = []
-    for i, s in enumerate(segs):
-        any_row = F.max(F.col(f"_in{i}"))
-        for j, c in enumerate(cols):
-            hit = F.count(F.when(F.col(f"_in{i}") & (F.col("slot") == j) & F.col("value").isNotNull(), F.lit(1)))
-            exprs.append(F.when(any_row, hit).alias(name(s, c)))
-    return seen.groupBy(key).agg(*exprs)
+    ins = [f"_in{i}" for i in range(len(segs))]
+    # a counted column may be the key itself
+    rows = df.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_c{j}") for j, c in enumerate(cols)], *[f.alias(i) for f, i in zip(flags, ins)])
+    rows = rows if is_staged else staged(rows)
+    kinds = {c: rows.schema[f"_c{j}"].dataType.simpleString() for j, c in enumerate(cols)}
+    whole = {j: c for j, c in enumerate(cols) if kinds[c] in _WHOLE}
+    bounds = rows.agg(F.lit(0).alias("_"), *[f(f"_c{j}").alias(f"{n}{j}") for j in whole for f, n in ((F.min, "l"), (F.max, "h"))]).first()
+    low = {j: bounds[f"l{j}"] for j in whole if bounds[f"l{j}"] is not None and bounds[f"h{j}"] - bounds[f"l{j}"] < BITS * WORDS}
+    here = [F.max(i).alias(i) for i in ins]
+    narrow = []
+    for j, base in low.items():
+        at = F.col(f"_c{j}") - F.lit(base)
+        for i, s in zip(ins, segs):
+            words = [F.bit_or(F.when(F.col(i) & (F.floor(at / BITS) == w), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(BITS)).cast("int"))))
+                     for w in range((bounds[f"h{j}"] - base) // BITS + 1)]
+            count = sum([F.coalesce(F.bit_count(w), F.lit(0)) for w in words], F.lit(0))
+            narrow.append(count.cast("bigint").alias(name(s, cols[j])))
+    tables = [rows.groupBy("_key").agg(*here, *narrow)]
+    for j, c in enumerate(cols):
+        names = [name(s, c) for s in segs]
+        if j in low:
+            continue
+        if j in whole:
+            tables.append(count_bits(value_bits(rows, ["_key"], f"_c{j}", [F.col(i) for i in ins]), ["_key"], names))
+            continue
+        # -0.0 and 0.0 are one value
+        value = F.col(f"_c{j}") + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(f"_c{j}")
+        seen = rows.filter(F.col(f"_c{j}").isNotNull()).select("_key", value.alias("_v"), *ins).groupBy("_key", "_v").agg(*here)
+        tables.append(seen.groupBy("_key").agg(*[F.count(F.when(F.col(i), F.lit(1))).alias(n) for i, n in zip(ins, names)]))
+    # one row per key and table; put together by key, so that rows without a key count as one
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t, allowMissingColumns=True)
+    return every.groupBy("_key").agg(*[F.when(F.max(i), F.coalesce(F.max(name(s, c)), F.lit(0).cast("bigint"))).alias(name(s, c))
+                                       for i, s in zip(ins, segs) for c in cols]).withColumnRenamed("_key", key)
 
 
 def count_per_distinct(df: DataFrame, key: str, counted: str, cols: Sequence[str],

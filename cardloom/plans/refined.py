@@ -244,7 +244,7 @@ def _days(later: Column, earlier: Column) -> Column:
 
 
 def profile_totals(rows: DataFrame, states: DataFrame, segments: Mapping[str, str] = PROFILE_SEGMENTS) -> DataFrame:
-    """Counts, means, sums, day bounds and rows-per-distinct ratios per card and segment."""
+    """Counts, means, sums, day bounds and rows-per-distinct ratios per card and segment; ``rows`` are staged."""
     def bounds(seg, within):
         day, lag = within(F.col("purchase_date_floorday")), within(F.col("month_lag"))
         return [F.min(day).alias(f"{seg}first_day"), F.max(day).alias(f"{seg}last_day"), F.max(within(F.col("last_moment"))).alias(f"{seg}last_moment"),
@@ -256,31 +256,34 @@ def profile_totals(rows: DataFrame, states: DataFrame, segments: Mapping[str, st
             spec.setdefault("_flag" if c == "authorized_flag" else c, set()).update(stats)
     totals = st.statistics(_with_key_states(states), KEY, {c: sorted(s) for c, s in spec.items()}, segments,
                            lambda seg, c, s: f"{seg}{'authorized_flag' if c == '_flag' else c}_{s}", also=bounds)
-    uniq = ag.distinct_counts(rows, KEY, PROFILE_DISTINCT, segments, lambda seg, c: f"{seg}card_id_{c}_nunique")
+    uniq = ag.distinct_counts(rows, KEY, PROFILE_DISTINCT, segments, lambda seg, c: f"{seg}card_id_{c}_nunique", is_staged=True)
     return totals.join(uniq, KEY)
 
 
 def card_profile(rows: DataFrame, cards: DataFrame, as_of: str, hist_now: str = "2018-03-01", new_now: str = "2018-05-01",
                  features: Sequence[str] | None = None, drop_pruned: bool = False, states: DataFrame | None = None) -> DataFrame:
-    """The four profile families (authorised, history, new, last two months) in one row per card.
+    """The four profile families (authorised, history, new, last two months) in one row per card. ``rows`` are staged.
 
-    ``features`` fixes the pivot columns; otherwise they are found from the
-    data. ``drop_pruned`` skips pivot columns that the final name rules remove.
+    ``features`` fixes the pivot columns, none if it is empty; otherwise they are
+    found from the data. ``drop_pruned`` skips pivot columns that the final name rules remove.
     """
     df = rows.withColumn("month_diff", dates.month_diff(as_of, "purchase_date", "month_lag"))
     states = staged(state_table(rows, as_of)) if states is None else states
     totals = profile_totals(rows, states)
     daily = daily_totals(states)
     ranks = _order_statistics(df, PROFILE_SEGMENTS)
-    rollup = pv.value_rollup(rows, KEY, PIVOTS, "merchant_id", "purchase_date_floorday", PROFILE_SEGMENTS)
-    pivoted = pv.pivot_features(rollup, KEY, list(PROFILE_SEGMENTS), SHARE_PIVOTS)
-    names = list(features) if features is not None else pv.feature_list(pivoted)
-    if drop_pruned:
-        names = [n for n in names if not pruned_by_name(n)]
-    wide = pv.to_wide(pivoted, KEY, names, fill=None)
+    names, wide = list(features or ()), None
+    if features is None or names:
+        rollup = pv.value_rollup(rows, KEY, PIVOTS, "merchant_id", "purchase_date_floorday", PROFILE_SEGMENTS)
+        pivoted = pv.pivot_features(rollup, KEY, list(PROFILE_SEGMENTS), SHARE_PIVOTS)
+        names = names or pv.feature_list(pivoted)
+        if drop_pruned:
+            names = [n for n in names if not pruned_by_name(n)]
+        wide = pv.to_wide(pivoted, KEY, names, fill=None)
     activation = cards.select(KEY, F.to_date("first_active_month").alias("_active"))
     joined = (totals.join(activation, KEY, "left").join(decayed_sums(daily), KEY, "left")
-              .join(before_activation(daily, cards), KEY, "left").join(ranks, KEY, "left").join(wide, KEY, "left"))
+              .join(before_activation(daily, cards), KEY, "left").join(ranks, KEY, "left"))
+    joined = joined if wide is None else joined.join(wide, KEY, "left")
     # a card with rows in the segment but none of a value counts 0 there, otherwise NULL
     empty = {s: F.when(F.col(f"{s}authorized_flag_count").isNotNull(), F.lit(0.0)) for s in PROFILE_SEGMENTS}
     return joined.select(KEY, *_profile_columns(hist_now, new_now), *[

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from cardloom.operators import joins as jo, windows as wi
+from cardloom.functions import scalars
+from cardloom.operators import pivot as pv
+from cardloom.operators.clean import pruned_by_name
 from cardloom.plans import baseline as ba, prepare as pp, refined as rf
 from cardloom.sources.fixtures import ROW_ORDER
 
-from .registry import query
+from .registry import ORACLES, query
 from .rows import AMOUNT
 
 AS_OF = "2002-01-01 00:00:00"
@@ -78,30 +80,42 @@ def _(t):
     return ba.cross_features(_prepared(t, 1), t.cards, nums=("amount_units", "installments"))
 
 
-_C4_STATS = {"nunique": "count(DISTINCT {c}) FILTER ({p})", "mean": "round(avg({c}) FILTER ({p}), 9)", "min": "min({c}) FILTER ({p})",
-             "max": "max({c}) FILTER ({p})", "var": "round(var_samp({c}) FILTER ({p}) + 0.0000037::DOUBLE, 5)",
-             "skew": "CASE WHEN min({c}) FILTER ({p}) < max({c}) FILTER ({p}) THEN round(skewness({c}) FILTER ({p}), 6) END",
-             "sum": "CAST(coalesce(sum({c}) FILTER ({p}), 0) AS DOUBLE)"}
-_C4_COLS = ("installments", "category_3", "month_lag", "purchase_day_diff", "purchase_month_diff", "category_4", "purchase_hour_section")
+# Statistic -> (DuckDB text, digits, shift). Amounts are not whole numbers here, so their sums depend on the order of addition. The
+# shifts keep values that are exact decimals off the border between two roundings.
+_C4_STATS = {"nunique": ("count(DISTINCT {c}) FILTER ({p})", None), "mean": ("avg({c}) FILTER ({p})", (9, 0.0)), "min": ("min({c}) FILTER ({p})", None),
+             "max": ("max({c}) FILTER ({p})", None), "var": ("var_samp({c}) FILTER ({p})", (5, 0.0000037)),
+             "skew": ("CASE WHEN min({c}) FILTER ({p}) < max({c}) FILTER ({p}) THEN skewness({c}) FILTER ({p}) END", (6, 0.0)),
+             "sum": ("CAST(coalesce(sum({c}) FILTER ({p}), 0) AS DOUBLE)", None)}
+_C4_AMOUNT = {"mean": (3, 0.000371293), "var": (0, 0.371293), "skew": (5, 0.0), "sum": (3, 0.000371293)}
+_C4_PARTS = (("_hist", "month_lag < 0"), ("_new", "month_lag >= 0"), ("", "TRUE"))
 
 
-@query("c04_card_statistics", f"WITH {_PREPARED} SELECT card_id," + ",".join(
-    [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {e.format(c=c, p=p)} END AS {c}_{s}{seg}"
-     for seg, p in (("_hist", "month_lag < 0"), ("_new", "month_lag >= 0"), ("", "TRUE")) for c in _C4_COLS for s, e in _C4_STATS.items()]
-    + [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN count(DISTINCT {c}) FILTER ({p}) END AS {c}_nunique{seg}"
-       for seg, p in (("_hist", "month_lag < 0"), ("_new", "month_lag >= 0"), ("", "TRUE")) for c in ba.ID_COLUMNS]
-    + [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN count(*) FILTER ({p}) END AS card_id_{s}{seg}"
-       for seg, p in (("_hist", "month_lag < 0"), ("_new", "month_lag >= 0"), ("", "TRUE")) for s in ("size", "count")])
+def _c4_rule(c, s):
+    return _C4_AMOUNT.get(s, _C4_STATS[s][1]) if c == "purchase_amount" else _C4_STATS[s][1]
+
+
+def _rounded_sql(expr, rule):
+    return expr if rule is None else f"round({expr} + {rule[1]:.12f}::DOUBLE, {rule[0]})"
+
+
+def _rounded_col(name, rule):
+    return F.col(f"`{name}`") if rule is None else F.round(F.col(f"`{name}`") + rule[1], rule[0]).alias(name)
+
+
+_C4_NAMES = [(f"{c}_{s}{seg}", _c4_rule(c, s)) for seg, _ in _C4_PARTS for c in ba.STAT_COLUMNS for s in ba.STATS]
+_C4_NAMES += [(f"{c}_nunique{seg}", None) for seg, _ in _C4_PARTS for c in ba.ID_COLUMNS]
+_C4_NAMES += [(f"card_id_{s}{seg}", None) for seg, _ in _C4_PARTS for s in ("size", "count")]
+_C4_SQL = ("SELECT card_id," + ",".join(
+    [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {_rounded_sql(_C4_STATS[s][0].format(c=c, p=p), _c4_rule(c, s))} END AS {c}_{s}{seg}"
+     for seg, p in _C4_PARTS for c in ba.STAT_COLUMNS for s in ba.STATS]
+    + [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN count(DISTINCT {c}) FILTER ({p}) END AS {c}_nunique{seg}" for seg, p in _C4_PARTS for c in ba.ID_COLUMNS]
+    + [f"CASE WHEN count(*) FILTER ({p}) > 0 THEN count(*) FILTER ({p}) END AS card_id_{s}{seg}" for seg, p in _C4_PARTS for s in ("size", "count")])
     + " FROM p2 GROUP BY card_id")
+
+
+@query("c04_card_statistics", f"WITH {_PREPARED} {_C4_SQL}")
 def _(t):
-    df = ba.card_statistics(_prepared(t, 2))
-    digits, shift = {"mean": 9, "var": 5, "skew": 6}, {"var": 0.0000037}
-    out = []
-    for seg in ba.SEGMENTS:
-        out += [F.round(F.col(f"{c}_{s}{seg}") + shift.get(s, 0.0), digits[s]).alias(f"{c}_{s}{seg}") if s in digits else F.col(f"{c}_{s}{seg}")
-                for c in _C4_COLS for s in _C4_STATS]
-        out += [F.col(f"{c}_nunique{seg}") for c in ba.ID_COLUMNS] + [F.col(f"card_id_{s}{seg}") for s in ("size", "count")]
-    return df.select("card_id", *out)
+    return ba.card_statistics(_prepared(t, 2)).select("card_id", *[_rounded_col(n, rule) for n, rule in _C4_NAMES])
 
 
 # ---- refined families --------------------------------------------------------
@@ -112,6 +126,8 @@ _ROWS = f"""
                coalesce(merchant_id, -1) AS merchant_id, CASE WHEN installments IN (-1, 999) THEN NULL WHEN installments = 0 THEN 1 ELSE installments END AS installments,
                {AMOUNT} AS purchase_amount, purchase_date, CAST(purchase_date AS DATE) AS day, month_lag, month_lag >= 0 AS is_new, city_id, state_id,
                merchant_category_id, subsector_id, {ORDS}, CAST(month(purchase_date) AS INT) AS month, CAST(weekofyear(purchase_date) AS INT) AS weekofyear,
+               CAST(hour(purchase_date) AS INT) AS hour, CAST(isodow(purchase_date) - 1 AS INT) AS dayofweek, CAST(year(purchase_date) AS INT) AS year,
+               CASE WHEN isodow(purchase_date) >= 6 THEN 1 ELSE 0 END AS weekend,
                CAST(floor(date_diff('day', purchase_date, TIMESTAMP '{AS_OF}') / 30.0::DOUBLE) AS INT) + month_lag AS month_diff FROM txn),
     act AS (SELECT card_id, CAST(first_active_month AS DATE) AS active FROM cards)"""
 
@@ -120,53 +136,77 @@ def _rows(t):
     return pp.clean_transactions(t.txn.withColumn("is_new", F.col("month_lag") >= 0), -1)
 
 
+_UNITS = {"d": "sr", "w": "sr // 7", "m": "sr // 30"}
+
+
+def _decay_sql(suffix, amount="purchase_amount"):
+    unit, rate = scalars.DECAYS[suffix]
+    return f"{amount} * pow({rate}::DOUBLE, CAST({_UNITS[suffix[0]]} AS DOUBLE))"
+
+
 @query("c05_expand_transactions", f"""
 WITH {_ROWS}, g AS (SELECT card_id, max(day) AS m FROM crow GROUP BY card_id),
   x AS (SELECT crow.*, date_diff('day', active, day) AS sa, date_diff('day', day, m) AS sr,
           date_diff('day', lag(day) OVER (PARTITION BY crow.card_id ORDER BY {ORDER}), day) AS gap
         FROM crow JOIN g ON g.card_id = crow.card_id LEFT JOIN act ON act.card_id = crow.card_id)
-SELECT card_id, {ORDS}, purchase_amount, installments, category_3, CAST(sa AS INT) AS purchase_day_since_active_day,
+SELECT card_id, {ORDS}, authorized_flag, category_1, category_2, purchase_amount, installments, category_3, merchant_id, month_lag, year, month, hour, weekofyear,
+  dayofweek, weekend, CAST(sa AS INT) AS purchase_day_since_active_day,
   CAST(floor(sa / 30.0::DOUBLE) AS INT) AS purchase_month_since_active_day, CAST(floor(sa / 7.0::DOUBLE) AS INT) AS purchase_week_since_active_day,
-  CAST(sr AS INT) AS purchase_day_since_reference_day, CAST(sr // 30 AS INT) AS purchase_month_since_reference_day, CAST(gap AS INT) AS purchase_day_diff,
-  CAST(gap // 7 AS INT) AS purchase_week_diff, round(purchase_amount * pow(0.97::DOUBLE, CAST(sr // 7 AS DOUBLE)) + 0.00037::DOUBLE, 1) AS purchase_amount_wdgd_97 FROM x""")
+  CAST(sr AS INT) AS purchase_day_since_reference_day, CAST(sr // 7 AS INT) AS purchase_week_since_reference_day,
+  CAST(sr // 30 AS INT) AS purchase_month_since_reference_day, CAST(gap AS INT) AS purchase_day_diff,
+  CAST(gap // 7 AS INT) AS purchase_week_diff, CAST(gap // 30 AS INT) AS purchase_month_diff, """ + ", ".join(
+      f"round({_decay_sql(d)} + 0.00037::DOUBLE, 1) AS purchase_amount_{d}" for d in scalars.DECAYS) + " FROM x")
 def _(t):
     df = pp.expand_transactions(t.txn, t.cards, ROW_ORDER, missing_merchant=-1)
-    return df.select(*LINE, "purchase_amount", "installments", "category_3", "purchase_day_since_active_day",
-                     "purchase_month_since_active_day", "purchase_week_since_active_day", "purchase_day_since_reference_day",
-                     "purchase_month_since_reference_day", "purchase_day_diff", "purchase_week_diff",
-                     F.round(F.col("purchase_amount_wdgd_97") + 0.00037, 1).alias("purchase_amount_wdgd_97"))
+    since = [f"purchase_{u}_since_{d}_day" for u in ("day", "week", "month") for d in ("active", "reference")]
+    return df.select(*LINE, "authorized_flag", "category_1", "category_2", "purchase_amount", "installments", "category_3", "merchant_id", "month_lag",
+                     "year", "month", "hour", "weekofyear", "dayofweek", "weekend", *since, *[f"purchase_{u}_diff" for u in ("day", "week", "month")],
+                     *[F.round(F.col(f"purchase_amount_{d}") + 0.00037, 1).alias(f"purchase_amount_{d}") for d in scalars.DECAYS])
 
 
 _BASE = (("auth_", "NOT is_new AND authorized_flag = 1"), ("hist_", "NOT is_new AND authorized_flag = 0"), ("new_", "is_new"))
 
 
+# Column -> (value, digits of mean, deviation and skewness). The divided amounts are not whole numbers.
+_BASE_VALUES = {"card_id": "card_id", "purchase_date": "purchase_date", "price": "purchase_amount / installments",
+                "duration": "purchase_amount * month_diff", "amount_month_ratio": "purchase_amount / month_diff"}
+_BASE_DIGITS = {"price": (1, 1, 4), "amount_month_ratio": (1, 1, 4), "duration": (1, 0, 4)}
+
+
+def _base_stat(c, s):
+    """(DuckDB text over ``{v}`` and ``{w}``, rule of rounding) of one statistic."""
+    mean, std, skew = _BASE_DIGITS.get(c, (6, 6, 5))
+    bound = "CAST(epoch({f}({v}) {w}) AS BIGINT)" if c == "purchase_date" else "{f}({v}) {w}"
+    return {"mean": ("avg({v}) {w}", (mean, 0.0000371293)), "std": ("stddev_samp({v}) {w}", (std, 0.0000371293)),
+            "skew": ("CASE WHEN min({v}) {w} < max({v}) {w} THEN skewness({v}) {w} END", (skew, 0.0)),
+            "nunique": ("count(DISTINCT {v}) {w}", None), "size": ("count(*) {w}", None), "count": ("count({v}) {w}", None),
+            "min": (bound.replace("{f}", "min"), (2, 0.000371293) if c == "amount_month_ratio" else None),
+            "max": (bound.replace("{f}", "max"), (2, 0.000371293) if c == "amount_month_ratio" else None)}[s]
+
+
+_BASE_NAMES = [(f"{seg}{c}_{s}", _base_stat(c, s)[1]) for seg, _ in _BASE for c, own in rf.BASE_SPEC.items() for s in own]
+_BASE_NAMES += [(f"{seg}{c}_mean_mean", (2, 0.000371293)) for seg, _ in _BASE for c in rf.GROUP_MEANS]
+
+
 def _base_sql(seg, p):
-    def f(expr, name):
-        return f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {expr} END AS {seg}{name}"
-    return ",".join([
-        f(f"round(avg(category_3) FILTER ({p}), 6)", "category_3_mean"), f(f"max(installments) FILTER ({p})", "installments_max"),
-        f(f"count(DISTINCT month_lag) FILTER ({p})", "month_lag_nunique"), f(f"count(DISTINCT month) FILTER ({p})", "month_nunique"),
-        f(f"count(DISTINCT weekofyear) FILTER ({p})", "weekofyear_nunique"), f(f"round(stddev_samp(weekofyear) FILTER ({p}), 6)", "weekofyear_std"),
-        f(f"count(*) FILTER ({p})", "card_id_size"), f(f"CAST(epoch(max(purchase_date) FILTER ({p})) AS BIGINT)", "purchase_date_max"),
-        f(f"max(purchase_amount / installments) FILTER ({p})", "price_max"), f(f"avg(purchase_amount * month_diff) FILTER ({p})", "duration_mean"),
-        f(f"min(purchase_amount * month_diff) FILTER ({p})", "duration_min"), f(f"round(max(purchase_amount / month_diff) FILTER ({p}), 2)", "amount_month_ratio_max"),
-        f(f"CASE WHEN min(purchase_amount * month_diff) FILTER ({p}) < max(purchase_amount * month_diff) FILTER ({p}) THEN round(skewness(purchase_amount * month_diff) FILTER ({p}), 5) END", "duration_skew"),
-        f(f"round(avg(m2_{seg}) FILTER ({p}), 2)", "category_2_mean_mean")])
-
-
-_BASE_COLS = ("category_3_mean", "installments_max", "month_lag_nunique", "month_nunique", "weekofyear_nunique", "weekofyear_std", "card_id_size",
-              "purchase_date_max", "price_max", "duration_mean", "duration_min", "amount_month_ratio_max", "duration_skew", "category_2_mean_mean")
-_BASE_DIGITS = {"category_3_mean": 6, "weekofyear_std": 6, "amount_month_ratio_max": 2, "duration_skew": 5, "category_2_mean_mean": 2}
-
-
-@query("c06_base_statistics", f"WITH {_ROWS}, y AS (SELECT *, " + ", ".join(
-    f"avg(purchase_amount) FILTER ({p}) OVER (PARTITION BY category_2) AS m2_{s}" for s, p in _BASE) + " FROM crow) SELECT card_id, "
-    + ",".join(_base_sql(s, p) for s, p in _BASE) + " FROM y GROUP BY card_id")
+    w, out = f"FILTER ({p})", []
+    for c, own in rf.BASE_SPEC.items():
+        for s in own:
+            text, rule = _base_stat(c, s)
+            out.append((f"{seg}{c}_{s}", _rounded_sql(text.format(v=_BASE_VALUES.get(c, c), w=w), rule)))
+    out += [(f"{seg}{c}_mean_mean", _rounded_sql(f"avg(m_{c}_{seg}) {w}", (2, 0.000371293))) for c in rf.GROUP_MEANS]
+    return [f"CASE WHEN count(*) {w} > 0 THEN {expr} END AS {n}" for n, expr in out]
+
+
+_BASE_SQL = f"WITH {_ROWS}, y AS (SELECT *, " + ", ".join(
+    f"avg(purchase_amount) FILTER ({p}) OVER (PARTITION BY {c}) AS m_{c}_{s}" for s, p in _BASE for c in rf.GROUP_MEANS) + " FROM crow) SELECT card_id, " + ",".join(
+    x for s, p in _BASE for x in _base_sql(s, p)) + " FROM y GROUP BY card_id"
+
+
+@query("c06_base_statistics", _BASE_SQL)
 def _(t):
     df = rf.base_statistics(rf.staged_rows(_rows(t)), AS_OF)
-    return df.select("card_id", *[
-        F.round(F.col(f"{s}{c}"), _BASE_DIGITS[c]).alias(f"{s}{c}") if c in _BASE_DIGITS else F.col(f"{s}{c}")
-        for s, _ in _BASE for c in _BASE_COLS])
+    return df.select("card_id", *[_rounded_col(n, rule) for n, rule in _BASE_NAMES])
 
 
 _SEGS = (("auth_cardf_", "NOT is_new AND authorized_flag = 1"), ("hist_cardf_", "NOT is_new"), ("new_cardf_", "is_new"))
@@ -177,57 +217,85 @@ def _div(a, b):
             f"ELSE CAST({a} AS DOUBLE) / {b} END")
 
 
-def _profile_sql(seg, p, recent=False):
-    w = f"FILTER ({p})"
+_DAY_OF = {"purchase_date_floorday": "day"}
+
 
-    def f(expr, name):
-        return f"CASE WHEN count(*) {w} > 0 THEN {expr} END AS {seg}{name}"
-    q = f"list_sort(list(purchase_amount) {w})"
+def _profile_stats(seg, p):
+    """(name, DuckDB text, rule of rounding) of the columns of one profile family, but for its day bounds."""
+    w, recent = f"FILTER ({p})", seg == "hist_last2_"
+    ranked = f"list_sort(list(purchase_amount) {w})"
 
     def at(x):
-        return f"{q}[CAST(floor(count(*) {w} * {x}::DOUBLE) AS BIGINT) + 1]"
-    cols = [f(f"count(authorized_flag) {w}", "card_id_cnt"), f(f"round(avg(month_diff) {w}, 6)", "month_diff_mean"),
-            f(f"sum(purchase_amount) {w}", "card_id_purchase_amount_sum"), f(f"avg(purchase_amount) {w}", "card_id_purchase_amount_mean"),
-            f(f"median(purchase_amount) {w}", "card_id_purchase_amount_median"),
-            f(f"count(DISTINCT merchant_id) {w}", "card_id_merchant_id_nunique"), f(f"count(DISTINCT day) {w}", "card_id_purchase_date_floorday_nunique"),
-            f(_div(f"count(authorized_flag) {w}", f"count(DISTINCT installments) {w}"), "card_id_cnt_divide_installments_nunique"),
-            f(f"coalesce(round(sum(purchase_amount * pow(0.98::DOUBLE, CAST(sr AS DOUBLE))) {w}, 0), 0)", "card_id_purchase_amount_ddgd_98_sum"),
-            f(f"coalesce(round(sum(purchase_amount * pow(0.8::DOUBLE, CAST(sr // 30 AS DOUBLE))) {w}, 0), 0)", "card_id_purchase_amount_mdgd_80_sum"),
-            f(f"CAST(count(merchant_id) FILTER ({p} AND category_3 = 1) AS DOUBLE)", "category_3_cnt_pivot_1"),
-            f(f"CAST(count(merchant_id) FILTER ({p} AND isodow(day) >= 6) AS DOUBLE)", "weekend_cnt_pivot_1"),
-            f(f"CAST(count(DISTINCT day) FILTER ({p} AND category_2 = 3) AS DOUBLE) / count(DISTINCT day) {w}", "category_2_day_nunique_pct_3_0")]
+        return f"{ranked}[CAST(floor(count(*) {w} * {x}::DOUBLE) AS BIGINT) + 1]"
+
+    cols = [("card_id_cnt", f"count(authorized_flag) {w}", None), ("month_diff_mean", f"avg(month_diff) {w}", (6, 0.0000371293)),
+            ("card_id_purchase_amount_sum", f"sum(purchase_amount) {w}", None), ("card_id_purchase_amount_mean", f"avg(purchase_amount) {w}", None),
+            ("card_id_purchase_amount_std", f"stddev_samp(purchase_amount) {w}", (1, 0.00371293)),
+            ("card_id_purchase_amount_median", f"median(purchase_amount) {w}", None)]
+    if seg in ("hist_cardf_", "hist_last2_"):
+        cols += [("card_id_isau_mean", f"CAST(avg(authorized_flag) {w} AS DOUBLE)", None), ("card_id_isau_sum", f"CAST(sum(authorized_flag) {w} AS DOUBLE)", None)]
+    for d in (rf.RECENT_DISTINCT if recent else rf.PROFILE_DISTINCT):
+        n = f"count(DISTINCT {_DAY_OF.get(d, d)}) {w}"
+        cols += [(f"card_id_{d}_nunique", n, None), (f"card_id_cnt_divide_{d}_nunique", _div(f"count(authorized_flag) {w}", n), None)]
+    cols += [(f"card_id_purchase_amount_{d}_sum", f"coalesce(sum({_decay_sql(d)}) {w}, 0)", (0, 0.371293))
+             for d in (rf.RECENT_DECAYS if recent else scalars.DECAYS)]
     if not recent:
-        cols += [f(f"CAST(coalesce(sum(installments) {w}, 0) AS DOUBLE)", "card_id_installments_sum"),
-                 f(f"CAST(median(month_diff) {w} AS DOUBLE)", "month_diff_median"), f(at(0.25), "purchase_amount_25_quantile"),
-                 f(f"{at(0.975)} - {at(0.025)}", "card_id_purchase_amount_range2"),
-                 f(f"max(purchase_amount) {w} - min(purchase_amount) {w}", "card_id_purchase_amount_range")]
-    return cols
-
-
-_PROFILE_COLS = ["card_id_cnt", "month_diff_mean", "card_id_purchase_amount_sum", "card_id_purchase_amount_mean", "card_id_purchase_amount_median",
-                 "card_id_merchant_id_nunique", "card_id_purchase_date_floorday_nunique", "card_id_cnt_divide_installments_nunique",
-                 "card_id_purchase_amount_ddgd_98_sum", "card_id_purchase_amount_mdgd_80_sum", "category_3_cnt_pivot_1", "weekend_cnt_pivot_1",
-                 "category_2_day_nunique_pct_3_0"]
-_PROFILE_ONLY = ["card_id_installments_sum", "month_diff_median", "purchase_amount_25_quantile", "card_id_purchase_amount_range2", "card_id_purchase_amount_range"]
-_REF = "ref AS (SELECT crow.*, active, date_diff('day', day, max(day) OVER (PARTITION BY crow.card_id, is_new)) AS sr FROM crow LEFT JOIN act ON act.card_id = crow.card_id)"
+        cols += [("card_id_installments_sum", f"CAST(coalesce(sum(installments) {w}, 0) AS DOUBLE)", None),
+                 ("card_id_purchase_amount_max", f"max(purchase_amount) {w}", None), ("card_id_purchase_amount_min", f"min(purchase_amount) {w}", None),
+                 ("card_id_purchase_amount_range", f"max(purchase_amount) {w} - min(purchase_amount) {w}", None),
+                 ("month_diff_median", f"CAST(median(month_diff) {w} AS DOUBLE)", None),
+                 ("purchase_amount_25_quantile", at(0.25), None), ("purchase_amount_75_quantile", at(0.75), None),
+                 ("card_id_purchase_amount_range2", f"{at(0.975)} - {at(0.025)}", None)]
+    return [(seg + n, expr, rule) for n, expr, rule in cols]
 
 
-def _rounded(name):
-    digits = 6 if name.endswith("month_diff_mean") else 0 if "dgd_" in name else None
-    return F.col(f"`{name}`") if digits is None else F.round(F.col(f"`{name}`"), digits).alias(name)
+def _profile_sql(segments):
+    return ", ".join(f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {_rounded_sql(expr, rule)} END AS {n}" for s, p in segments for n, expr, rule in _profile_stats(s, p))
 
 
-_FOUND = ["category_3_cnt_pivot_1", "weekend_cnt_pivot_1", "category_2_day_nunique_pct_3_0"]
+_REF = "ref AS (SELECT crow.*, active, date_diff('day', day, max(day) OVER (PARTITION BY crow.card_id, is_new)) AS sr FROM crow LEFT JOIN act ON act.card_id = crow.card_id)"
+_RECENT = (("hist_last2_", "NOT is_new AND month_lag >= -2"),)
 
 
 def _profile(t):
-    names = [s + n for s in rf.PROFILE_SEGMENTS for n in _FOUND]
-    return rf.card_profile(rf.staged_rows(_rows(t)), t.cards, AS_OF, "2002-01-01", "2002-03-01", features=names)
+    # pivots have entries of their own, in long form
+    return rf.card_profile(rf.staged_rows(_rows(t)), t.cards, AS_OF, "2002-01-01", "2002-03-01", features=[])
+
+
+_PROFILE_SQL = f"WITH {_ROWS}, {_REF} SELECT card_id, {_profile_sql(_SEGS)} FROM ref GROUP BY card_id"
+_RECENT_SQL = f"WITH {_ROWS}, {_REF} SELECT card_id, {_profile_sql(_RECENT)} FROM ref GROUP BY card_id"
 
 
-@query("c07_card_profile", f"WITH {_ROWS}, {_REF} SELECT card_id, " + ", ".join(c for s, p in _SEGS for c in _profile_sql(s, p)) + " FROM ref GROUP BY card_id")
+@query("c07_card_profile", _PROFILE_SQL)
 def _(t):
-    return _profile(t).select("card_id", *[_rounded(s + c) for s, _ in _SEGS for c in _PROFILE_COLS + _PROFILE_ONLY])
+    return _profile(t).select("card_id", *[_rounded_col(n, rule) for s, p in _SEGS for n, _, rule in _profile_stats(s, p)])
+
+
+def _pivot_sql(segments):
+    def text(c):
+        return f"printf('%.1f', {c})" if c == "category_2" else f"CAST({c} AS VARCHAR)"
+
+    parts = []
+    for seg, p in segments:
+        w = f"FILTER ({p})"
+        for c in rf.PIVOTS:
+            named = f"replace({text(c)}, '.', '_')"
+            parts.append(f"SELECT card_id, '{seg}{c}_cnt_pivot_' || {named} AS feature, CAST(count(merchant_id) {w} AS DOUBLE) AS v FROM ref WHERE {c} IS NOT NULL "
+                         f"GROUP BY card_id, {c} HAVING count(*) {w} > 0")
+        for c in rf.SHARE_PIVOTS:
+            named = f"replace({text('r.' + c) if c != 'category_2' else text(c)}, '.', '_')"
+            parts.append(f"SELECT r.card_id, '{seg}{c}_day_nunique_pct_' || {named} AS feature, CAST(count(DISTINCT day) {w} AS DOUBLE) / any_value(d_{seg}) AS v "
+                         f"FROM ref r JOIN days ON days.card_id = r.card_id WHERE r.{c} IS NOT NULL GROUP BY r.card_id, r.{c} HAVING count(*) {w} > 0")
+    days = "days AS (SELECT card_id, " + ", ".join(f"count(DISTINCT day) FILTER ({p}) AS d_{seg}" for seg, p in segments) + " FROM ref GROUP BY card_id)"
+    return f"WITH {_ROWS}, {_REF}, {days} " + " UNION ALL ".join(parts)
+
+
+@query("c07_pivot_features", _pivot_sql((*_SEGS, *_RECENT)))
+def _(t):
+    # every value that the data have, of all four families, without a limit on their number
+    rows = rf.staged_rows(_rows(t))
+    rollup = pv.value_rollup(rows, "card_id", rf.PIVOTS, "merchant_id", "purchase_date_floorday", rf.PROFILE_SEGMENTS)
+    return pv.pivot_features(rollup, "card_id", list(rf.PROFILE_SEGMENTS), rf.SHARE_PIVOTS)
 
 
 @query("c07_card_lifecycle", f"""
@@ -261,9 +329,9 @@ def _(t):
     return _profile(t).select("card_id", *[f"hist_cardf_{n}" for n in names], *[f"new_cardf_{n}" for n in new])
 
 
-@query("c08_recent_profile", f"WITH {_ROWS}, {_REF} SELECT card_id, " + ", ".join(_profile_sql("hist_last2_", "NOT is_new AND month_lag >= -2", True)) + " FROM ref GROUP BY card_id")
+@query("c08_recent_profile", _RECENT_SQL)
 def _(t):
-    return _profile(t).select("card_id", *[_rounded("hist_last2_" + c) for c in _PROFILE_COLS])
+    return _profile(t).select("card_id", *[_rounded_col(n, rule) for s, p in _RECENT for n, _, rule in _profile_stats(s, p)])
 
 
 def _levels_sql():
@@ -283,18 +351,19 @@ def _levels_sql():
     return f"WITH {_ROWS}, " + ", ".join(tables) + " SELECT l0.card_id, " + ", ".join(cols) + f" FROM l0 {joins}"
 
 
+def _level_col(c):
+    if c.endswith("_mean"):
+        # means of whole-number sums are exact
+        return F.col(c) if "_amount_sum" in c else F.round(c, 9).alias(c)
+    if c.endswith("_std"):
+        return F.round(c, 0 if "_amount_sum" in c else 6).alias(c)
+    return F.col(c)
+
+
 @query("c09_two_level_features", _levels_sql())
 def _(t):
     df = rf.two_level_features(_rows(t))
-
-    def out(c):
-        if c.endswith("_mean"):
-            # means of whole-number sums are exact
-            return F.col(c) if "_amount_sum" in c else F.round(c, 9).alias(c)
-        if c.endswith("_std"):
-            return F.round(c, 0 if "_amount_sum" in c else 6).alias(c)
-        return F.col(c)
-    return df.select("card_id", *[out(c) for c in df.columns if c != "card_id"])
+    return df.select("card_id", *[_level_col(c) for c in df.columns if c != "card_id"])
 
 
 @query("c10_card_attributes", """
@@ -304,37 +373,100 @@ def _(t):
     return rf.card_attributes(t.cards, "2002-01-01").select("card_id", "year", "elapsed_time", "weekofyear", "dayofyear", "month")
 
 
-@query("c11_final_ratios", f"""
-WITH {_ROWS}, g AS (SELECT card_id, CASE WHEN count(*) FILTER (NOT is_new AND authorized_flag = 0) > 0 THEN count(*) FILTER (NOT is_new AND authorized_flag = 0) END AS hs,
-  CASE WHEN count(*) FILTER (is_new) > 0 THEN count(*) FILTER (is_new) END AS ns, sum(purchase_amount) FILTER (NOT is_new) AS ha, sum(purchase_amount) FILTER (is_new) AS na,
+_FEATURES = ("feature_1", "feature_2", "feature_3")
+# Column -> (DuckDB text over v, rule of rounding).
+_RATIOS = {
+    "outliers": ("outliers", None), **{f"{f}_outliers_mean": (f"e{i}.m", None) for i, f in enumerate(_FEATURES, 1)},
+    **{f"days_feature{i}": (f"CAST(elapsed * v.{f} AS INT)", None) for i, f in enumerate(_FEATURES, 1)},
+    **{f"days_feature{i}_ratio": (_div(f"v.{f}", "elapsed"), None) for i, f in enumerate(_FEATURES, 1)},
+    "feature_sum": ("CAST(f1 + f2 + f3 AS DOUBLE)", None), "feature_mean": ("(f1 + f2 + f3) / 3.0::DOUBLE", None),
+    "feature_max": ("greatest(f1, f2, f3)", None), "feature_min": ("least(f1, f2, f3)", None),
+    "feature_var": ("sqrt((pow(f1 - fm, 2) + pow(f2 - fm, 2) + pow(f3 - fm, 2)) / 2)", (9, 0.0)),
+    "card_id_total": ("hs + ns", None), "card_id_cnt_total": ("hs + ns", None), "card_id_cnt_ratio": (_div("ns", "hs"), None),
+    "purchase_amount_total": ("ha + na", None), "purchase_amount_ratio": (_div("na", "ha"), None), "month_diff_ratio": (_div("nm", "hm"), (9, 0.0)),
+    "installments_total": ("CAST(ni + ai AS DOUBLE)", None), "installments_ratio": (_div("ni", "ai"), None),
+    "new_CLV": (_div("(ns * na)", "nm"), (1, 0.0)), "hist_CLV": (_div("(hs * ha)", "hm"), (1, 0.0)),
+    "price_total": (_div("(ha + na)", "(ni + ai)"), None), "CLV_ratio": (_div(f"({_div('(ns * na)', 'nm')})", f"({_div('(hs * ha)', 'hm')})"), (9, 0.0))}
+
+
+def _present(p, expr):
+    return f"CASE WHEN count(*) FILTER ({p}) > 0 THEN {expr} END"
+
+
+_RATIO_SQL = f"""
+WITH {_ROWS}, g AS (SELECT card_id, {_present("NOT is_new AND authorized_flag = 0", "count(*) FILTER (NOT is_new AND authorized_flag = 0)")} AS hs,
+  {_present("is_new", "count(*) FILTER (is_new)")} AS ns, sum(purchase_amount) FILTER (NOT is_new) AS ha, sum(purchase_amount) FILTER (is_new) AS na,
   avg(month_diff) FILTER (NOT is_new) AS hm, avg(month_diff) FILTER (is_new) AS nm,
-  CASE WHEN count(*) FILTER (is_new) > 0 THEN coalesce(sum(installments) FILTER (is_new), 0) END + CASE WHEN count(*) FILTER (NOT is_new AND authorized_flag = 1) > 0 THEN coalesce(sum(installments) FILTER (NOT is_new AND authorized_flag = 1), 0) END AS it
-  FROM crow GROUP BY card_id),
-  v AS (SELECT c.card_id, c.feature_1, CASE WHEN target < -900 THEN 1 ELSE 0 END AS outliers, hs + ns AS card_id_total, {_div('ns', 'hs')} AS card_id_cnt_ratio, ha + na AS purchase_amount_total, {_div('na', 'ha')} AS purchase_amount_ratio,
-    {_div('nm', 'hm')} AS month_diff_ratio, {_div('(ha + na)', 'it')} AS price_total, {_div('(ns * na)', 'nm')} AS new_CLV, {_div('(hs * ha)', 'hm')} AS hist_CLV,
-    date_diff('day', active, DATE '2002-01-01') * c.feature_2 AS days_feature2, {_div('c.feature_3', "date_diff('day', active, DATE '2002-01-01')")} AS days_feature3_ratio
-    FROM cards c LEFT JOIN g ON g.card_id = c.card_id LEFT JOIN act ON act.card_id = c.card_id),
-  e AS (SELECT feature_1, avg(CASE WHEN target < -900 THEN 1 ELSE 0 END) AS m FROM cards WHERE split = 'train' GROUP BY 1)
-SELECT card_id, outliers, m AS feature_1_outliers_mean, card_id_total, card_id_cnt_ratio, purchase_amount_total, purchase_amount_ratio, round(month_diff_ratio, 9) AS month_diff_ratio,
-  price_total, round(new_CLV, 1) AS new_CLV, round(hist_CLV, 1) AS hist_CLV, round({_div('new_CLV', 'hist_CLV')}, 9) AS CLV_ratio, CAST(days_feature2 AS INT) AS days_feature2, days_feature3_ratio
-FROM v LEFT JOIN e ON e.feature_1 = v.feature_1""")
+  {_present("is_new", "coalesce(sum(installments) FILTER (is_new), 0)")} AS ni,
+  {_present("NOT is_new AND authorized_flag = 1", "coalesce(sum(installments) FILTER (NOT is_new AND authorized_flag = 1), 0)")} AS ai FROM crow GROUP BY card_id),
+  v AS (SELECT c.card_id, feature_1, feature_2, feature_3, CASE WHEN target < -900 THEN 1 ELSE 0 END AS outliers, hs, ns, ha, na, hm, nm, ni, ai,
+    CAST(feature_1 AS DOUBLE) AS f1, CAST(feature_2 AS DOUBLE) AS f2, CAST(feature_3 AS DOUBLE) AS f3, (feature_1 + feature_2 + feature_3) / 3.0::DOUBLE AS fm,
+    date_diff('day', active, DATE '2002-01-01') AS elapsed FROM cards c LEFT JOIN g ON g.card_id = c.card_id LEFT JOIN act ON act.card_id = c.card_id),
+  """ + ", ".join(f"e{i} AS (SELECT {f}, avg(CASE WHEN target < -900 THEN 1 ELSE 0 END) AS m FROM cards WHERE split = 'train' GROUP BY 1)" for i, f in enumerate(_FEATURES, 1)) + """
+SELECT card_id, """ + ", ".join(f"{_rounded_sql(expr, rule)} AS {n}" for n, (expr, rule) in _RATIOS.items()) + " FROM v " + " ".join(
+    f"LEFT JOIN e{i} ON e{i}.{f} = v.{f}" for i, f in enumerate(_FEATURES, 1))
+
+
+def _refined(t):
+    return rf.refined_features(t.cards, _rows(t), AS_OF, "2002-01-01", -900.0, new_now="2002-03-01")
+
+
+@query("c11_final_ratios", _RATIO_SQL)
 def _(t):
-    df = rf.refined_features(t.cards, _rows(t), AS_OF, "2002-01-01", -900.0)
-    digits = {"month_diff_ratio": 9, "new_CLV": 1, "hist_CLV": 1, "CLV_ratio": 9}
-    names = ["outliers", "feature_1_outliers_mean", "card_id_total", "card_id_cnt_ratio", "purchase_amount_total", "purchase_amount_ratio",
-             "month_diff_ratio", "price_total", "new_CLV", "hist_CLV", "CLV_ratio", "days_feature2", "days_feature3_ratio"]
-    # feature_1_outliers_mean and the flag survive the name rules; the label is kept by name
-    return df.select("card_id", *[F.round(n, digits[n]).alias(n) if n in digits else F.col(n) for n in names])
+    return _refined(t).select("card_id", *[_rounded_col(n, rule) for n, (_, rule) in _RATIOS.items()])
+
+
+def _assembled_names():
+    """The columns of the refined table but for its pivots, as expressions that round like the SQL of the families."""
+    out = {n: _rounded_col(n, rule) for n, rule in _BASE_NAMES}
+    out |= {n: _rounded_col(n, rule) for s, p in (*_SEGS, *_RECENT) for n, _, rule in _profile_stats(s, p)}
+    out |= {n: _rounded_col(n, rule) for n, (_, rule) in _RATIOS.items()}
+    out |= {n: F.col(n) for n in (*_LIFECYCLE, "year", "elapsed_time", "weekofyear", "dayofyear", "month", *_FEATURES)}
+    return {n: c for n, c in out.items() if not pruned_by_name(n)}
+
+
+_LIFECYCLE = [f"hist_cardf_{n}" for n in (
+    "first_to_activation_day", "activation_to_reference_day", "first_to_reference_day", "reference_day_to_now", "first_day_to_now", "card_id_month_lag_min",
+    "is_purchase_before_activation", "first_to_reference_day_divide_activation_to_reference_day", "days_per_count")] + [f"new_cardf_{n}" for n in (
+        "reference_day_to_first_day", "reference_day_to_last_day", "first_to_last_day", "activation_to_first_day", "activation_to_last_day",
+        "reference_day_to_now", "first_day_to_now", "card_id_month_lag_max", "first_to_last_day_divide_reference_to_last_day", "days_per_count",
+        "card_id_part_cnt", "card_id_part_purchase_amount_sum", "card_id_part_purchase_amount_mean", "card_id_part_purchase_amount_sum_percent")]
+
+
+def _assembled_sql():
+    parts = [ORACLES[n] for n in ("c06_base_statistics", "c07_card_profile", "c07_card_lifecycle", "c08_recent_profile", "c09_two_level_features",
+                                  "c10_card_attributes", "c11_final_ratios")]
+    profile = [n for s, p in (*_SEGS, *_RECENT) for n, _, _ in _profile_stats(s, p)]
+    names = [n for n in [*[n for n, _ in _BASE_NAMES], *profile, *_RATIOS, *_LIFECYCLE, "year", "elapsed_time", "weekofyear", "dayofyear", "month", *_FEATURES]
+             if not pruned_by_name(n)]
+    of = {**{n: "t0" for n, _ in _BASE_NAMES}, **{n: "t1" for n in profile if not n.startswith("hist_last2_")},
+          **{n: "t3" for n in profile if n.startswith("hist_last2_")}, **{n: "t2" for n in _LIFECYCLE}, **{n: "t6" for n in _RATIOS},
+          **{n: "t5" for n in ("year", "elapsed_time", "weekofyear", "dayofyear", "month")}, **{n: "c" for n in _FEATURES}}
+    joins = " ".join(f"LEFT JOIN ({q}) t{i} ON t{i}.card_id = c.card_id" for i, q in enumerate(parts))
+    return f"SELECT c.card_id, c.target, c.split, {', '.join(f'{of[n]}.{n} AS {n}' for n in names)}, t4.* EXCLUDE (card_id) FROM cards c {joins}"
+
+
+@query("c12_assemble_refined", _assembled_sql())
+def _(t):
+    df, names = _refined(t), _assembled_names()
+    return df.select("card_id", "target", "split", *names.values(), *[_level_col(c) for c in df.columns if c.startswith("hist_levelAB_")])
+
+
+# Category -> its codes, of those that have few.
+_CROSSED = {"authorized_flag": range(2), "category_1": range(2), "category_3": range(4), "purchase_day": range(2), "purchase_hour_section": range(1)}
+_CROSS_NAMES = [(c, v, n) for c, codes in _CROSSED.items() for v in codes for n in ba.CROSS_NUMBERS]
 
 
 @query("c12_assemble_baseline", f"""
-WITH {_PREPARED}, s AS (SELECT card_id, coalesce(sum(amount_units) FILTER (state_id = 1), 0) AS v, count(DISTINCT city_id) FILTER (month_lag >= 0) AS n,
-  count(*) FILTER (month_lag >= 0) AS k, CAST(coalesce(sum(installments) FILTER (month_lag < 0), 0) AS DOUBLE) AS i FROM p2 GROUP BY card_id)
-SELECT c.card_id, feature_1, coalesce(v, 0) AS "state_id&1&amount_units", coalesce(n, 0) AS city_id_nunique_new, coalesce(k, 0) AS card_id_size_new, coalesce(i, 0) AS installments_sum_hist
-FROM cards c LEFT JOIN s ON s.card_id = c.card_id""")
+WITH {_PREPARED}, s AS ({_C4_SQL}), x AS (SELECT card_id, """ + ", ".join(
+    f"round(coalesce(sum({n}) FILTER ({c} = {v}), 0) + 0.000371293::DOUBLE, 3) AS \"{c}&{v}&{n}\"" for c, v, n in _CROSS_NAMES) + """ FROM pt GROUP BY card_id)
+SELECT c.card_id, feature_1, feature_2, feature_3, coalesce(target, 0) AS target, split, """ + ", ".join(
+    [f"coalesce(x.\"{c}&{v}&{n}\", 0) AS \"{c}&{v}&{n}\"" for c, v, n in _CROSS_NAMES]
+    + [f"coalesce(s.{n}, 0) AS {n}" for n, _ in _C4_NAMES]) + """
+FROM cards c LEFT JOIN s ON s.card_id = c.card_id LEFT JOIN x ON x.card_id = c.card_id""")
 def _(t):
-    tx1 = _prepared(t, 1).withColumn("state_id", F.col("state_id").cast("string"))
-    cross = ba.cross_features(tx1, t.cards, cats=("state_id",), nums=("amount_units",))
-    stats = ba.card_statistics(_prepared(t, 2))
-    df = ba.assemble(t.cards, cross, stats, names=["state_id&1&amount_units"])
-    return df.select("card_id", "feature_1", "state_id&1&amount_units", "city_id_nunique_new", "card_id_size_new", "installments_sum_hist")
+    names = [f"{c}&{v}&{n}" for c, v, n in _CROSS_NAMES]
+    cross = ba.cross_features(_prepared(t, 1), t.cards)
+    df = ba.assemble(t.cards, cross, ba.card_statistics(_prepared(t, 2)), names=names)
+    return df.select("card_id", "feature_1", "feature_2", "feature_3", "target", "split", *[_rounded_col(n, (3, 0.000371293)) for n in names],
+                     *[_rounded_col(n, rule) for n, rule in _C4_NAMES])
