@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardloom.session import shared_folder
@@ -21,6 +25,33 @@ def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hand_back() -> None:
+    """Give free memory back to the system: a worker lives on beside the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, after which free memory is handed back."""
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        hand_back()
+
+    return wrapped
+
+
+def tidy_group(run: Callable) -> Callable:
+    """``run`` over one group, after which free memory is handed back."""
+    def wrapped(frame):
+        out = run(frame)
+        hand_back()
+        return out
+
+    return wrapped
+
+
 def whole(text: Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(text.cast("string"), F.lit(""))

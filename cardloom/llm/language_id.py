@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import whole
+from .common import tidy, whole
 
 #: Labelled documents of one language that are learnt from at most, windows of each and their longest length.
 PER_LANGUAGE, WINDOWS, WINDOW = 500, 3, 1000
@@ -195,7 +195,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[Column], text: Colu
                 [*[batch.column(f.name) for f in kept], pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                 [*[f.name for f in kept], "lang_pred", "score", "rejected"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -31,14 +31,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import may_have, stage, whole, word_count
+from .common import may_have, stage, tidy, tidy_group, whole, word_count
 from .components import connected
 
 WORDS = 5
 #: Least similarity in hundredths.
 PERCENT = 80
 #: Shingles of a chunk of documents, of a bucket that counts them, and slots of the bitmap of region members.
-CHUNK_SHINGLES, BUCKET, SLOTS = 1 << 20, 1 << 22, 1 << 22
+CHUNK_SHINGLES, BUCKET, SLOTS = 1 << 20, 1 << 21, 1 << 22
 #: Documents and shingles that a region may hold before it is split.
 LEAF, LEAF_SHINGLES = 1000, 1 << 22
 #: Pivots per split, splits in a row, and how far a split may multiply its documents before blocks take over.
@@ -283,7 +283,7 @@ def shared_shingles(texts: DataFrame) -> DataFrame:
                             np.minimum(count[kept], 65535).astype("<u2").tobytes(), None, None, None, None))
         return pd.DataFrame(out, columns=list(rows.columns))
 
-    return texts.mapInArrow(send, SENT).groupBy("bucket").applyInPandas(answer, SENT)
+    return texts.mapInArrow(tidy(send), SENT).groupBy("bucket").applyInPandas(tidy_group(answer), SENT)
 
 
 def rare_heads(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -519,7 +519,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def heads(chunk: pd.DataFrame) -> pd.DataFrame:
         return rare_heads(chunk, percent)
 
-    meets = stage(answers.groupBy("chunk").applyInPandas(heads, "one long, pivots array<bigint>")).select("one", F.explode("pivots").alias("pivot"))
+    meets = stage(answers.groupBy("chunk").applyInPandas(tidy_group(heads), "one long, pivots array<bigint>")).select("one", F.explode("pivots").alias("pivot"))
     shared = meets.groupBy("pivot").agg(F.min("one").alias("least"), F.max("one").alias("most")).filter("least <> most")
     bonds = meets.join(shared.select("pivot", "least").hint("shuffle_hash"), "pivot").filter("one <> least").select("one", "least")
     regions = connected(bonds.distinct(), "one", "least")
@@ -539,7 +539,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                               "two": pa.array([k[1] for k in keys], pa.int64()), "shingles": _lists(sets)})
 
     key = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("one", "two")]))
-    sets = texts.mapInArrow(fetch, "one long, two long, shingles array<bigint>").join(
+    sets = texts.mapInArrow(tidy(fetch), "one long, two long, shingles array<bigint>").join(
         regions.select(F.col("node").alias("one"), F.col("root").cast("string").alias("region")), "one")
     members = stage(sets.dropDuplicates(["one", "two"]).select(
         "region", key.alias("key"), F.lit(False).alias("settled"), F.lit(True).alias("home"), "shingles"))

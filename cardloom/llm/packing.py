@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import running_offsets, stage
+from .common import running_offsets, stage, tidy
 from .tokens import encoder, vocabulary
 
 LENGTH = 1024
@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:6 if with_ids else 5])
 
     return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        cut, PIECES + (", ids binary" if with_ids else "")).withColumn("doc_id", F.col("doc_id").cast("long"))
+        tidy(cut), PIECES + (", ids binary" if with_ids else "")).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(histogram: dict[int, int], capacity: tuple[int, int, int], rule: str = "norm",

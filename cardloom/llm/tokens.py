@@ -15,8 +15,9 @@ import unicodedata
 from array import array
 from collections.abc import Iterable
 
-#: Chunks in each of the two generations that a worker remembers.
-REMEMBERED = 700_000
+#: Bytes, about, of each of the two generations of chunks that a worker remembers, what an entry takes beside its text and ids,
+#: and the longest chunk that is remembered.
+REMEMBERED, ENTRY, LONGEST = 64 << 20, 160, 64
 
 _EDGE = re.compile(r"(?<=\S)(?= \S)")
 _RARE_BLANK = re.compile(r"[^\S \n]")
@@ -47,7 +48,7 @@ class ChunkEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.remembered, self.kind = remembered, kind
+        self.remembered, self.held, self.kind = remembered, 0, kind
         kinds = str(self.tokenizer.pre_tokenizer) + str(self.tokenizer.normalizer)
         self.lower, self.merges = "Lowercase" in kinds, self.tokenizer.model.tokenize
         self.direct = "ByteLevel" in kinds and ("NFC" in kinds) == self.lower
@@ -83,7 +84,9 @@ class ChunkEncoder(dict):
                 ids = self[stem] + self[chunk[len(stem):]]
             else:
                 ids = self._fresh(chunk)
-        self[chunk] = ids
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+            self.held += ENTRY + len(chunk) + len(ids)
         return ids
 
     @staticmethod
@@ -99,9 +102,16 @@ class ChunkEncoder(dict):
             return b""
         if self.added and self.added.search(text):
             return self._fresh(text)
-        if len(self) > self.remembered:
-            self.older = dict(self)
+        if self.held > self.remembered:
+            self.older, self.held = dict(self), 0
             self.clear()
+        if self.lower and self.direct:
+            # such a vocabulary lowers every letter; below U+0100 that is one letter for one, so variants of a word are one chunk
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
         return b"".join(map(self.__getitem__, self.chunks(text)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
@@ -111,12 +121,12 @@ class ChunkEncoder(dict):
 _ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
 
 
-def encoder(path: str, kind: str = "I"):
+def encoder(path: str, kind: str = "I", remembered: int = REMEMBERED):
     """The ``encode`` of this worker's encoder for a vocabulary file, loaded once per worker.
 
     A file given by a path of the driver's machine is looked up by its name where the worker's installation differs.
     """
     if (path, kind) not in _ENCODERS:
         found = path if os.path.exists(path) else vocabulary(os.path.basename(path))
-        _ENCODERS[path, kind] = ChunkEncoder(found, kind=kind)
+        _ENCODERS[path, kind] = ChunkEncoder(found, remembered, kind)
     return _ENCODERS[path, kind].encode
