@@ -3,7 +3,11 @@
 A key's rows are cut into chunks along the order (a calendar day by default).
 Windows run inside (key, chunk); what must cross a chunk border is carried by a
 table with one row per (key, chunk), whose size per key is bounded by the
-calendar, not by the number of rows.
+calendar, not by the number of rows. A chunk that alone holds more than
+1/SHARES of all rows is cut further, at places of the order that a sample of its
+rows tells, so that no window holds much more than that share.
+
+The rows are staged once: counts, samples, carries and windows read them there.
 """
 
 from __future__ import annotations
@@ -13,57 +17,97 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.semantics import floor_div
-from .skew import keyed_join
+from ..session import staged
+from .skew import SHARES, hot_keys, keyed_join
+
+#: Sampled rows per piece of a hot chunk, and bounds that are compared side by side.
+SAMPLES, STEP = 64, 16
 
 
 def _chunk(order: Sequence[str], chunk: Column | None) -> Column:
     return F.to_date(order[0]) if chunk is None else chunk
 
 
+def _matching(left: Sequence[str], prefix: str) -> Column:
+    """Equality that also finds rows without a key or a time: they have a chunk of their own."""
+    out = F.lit(True)
+    for c in left:
+        out = out & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return out
+
+
+def split_hot_chunks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], shares: int = SHARES) -> DataFrame:
+    """``rows``, which have ``_chunk``, with ``_piece``: the number of the piece of their chunk, in the order; 0 in most chunks.
+
+    Fewer than ``shares`` chunks can be hot, and they have fewer than twice as many pieces, which bounds the sample and the
+    broadcast table of bounds. Rows that tie on the whole order stay together.
+    """
+    keys = [*keys, "_chunk"]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = staged(hot_keys(counts, keys, "_n", shares).join(counts.withColumnsRenamed({k: f"_hot_{k}" for k in keys}), _matching(keys, "_hot_"))
+                 .select(*[F.col(f"_hot_{k}") for k in keys], F.col("_salts").alias("_pieces"), "_n"))
+    if not hot.limit(1).count():
+        return rows.withColumn("_piece", F.lit(0))
+    place = F.pmod(F.xxhash64(*order), F.lit(1 << 30))
+    sample = rows.join(F.broadcast(hot), _matching(keys, "_hot_")).filter(place * F.col("_n") < F.col("_pieces") * F.lit(SAMPLES << 30))
+    at = F.col("_found")
+    bounds = (sample.groupBy(*[f"_hot_{k}" for k in keys]).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_found"), F.first("_pieces").alias("_pieces"))
+              .withColumn("_bounds", F.when(F.col("_pieces") > 1, F.transform(F.sequence(F.lit(1), F.col("_pieces") - 1), lambda i: F.get(
+                  at, F.floor(i * F.size(at) / F.col("_pieces")).cast("int")))))
+              .withColumn("_coarse", F.filter("_bounds", lambda b, i: i % STEP == 0)).drop("_found", "_pieces"))
+    own = F.struct(*order)
+    joined = rows.join(F.broadcast(bounds), _matching(keys, "_hot_"), "left")
+    # of the bounds that are not above the row, first every STEP-th, then those that follow the last of them
+    coarse = F.size(F.filter("_coarse", lambda b: b <= own))
+    fine = F.size(F.filter(F.slice("_bounds", F.greatest(coarse - 1, F.lit(0)) * STEP + 1, STEP), lambda b: b <= own))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], F.when(F.col("_bounds").isNull() | (coarse == 0), F.lit(0)).otherwise(
+        (coarse - 1) * STEP + fine).alias("_piece"))
+
+
 def with_previous(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-                  chunk: Column | None = None, name=lambda c: f"prev_{c}") -> DataFrame:
+                  chunk: Column | None = None, name=lambda c: f"prev_{c}", shares: int = SHARES) -> DataFrame:
     """Each row's predecessor values within its key; NULL on the first row.
 
     ``chunk`` must be a non-decreasing function of the order. Rows that tie on
     ``order`` have no defined predecessor, so give a total order.
     """
-    rows = df.withColumn("_chunk", _chunk(order, chunk))
-    inside = Window.partitionBy(key, "_chunk").orderBy(*order)
-    last = (rows.groupBy(key, "_chunk")
+    rows = split_hot_chunks(staged(df.withColumn("_chunk", _chunk(order, chunk))), [key], order, shares)
+    part = [key, "_chunk", "_piece"]
+    inside = Window.partitionBy(*part).orderBy(*order)
+    last = (rows.groupBy(*part)
             .agg(F.max(F.struct(*order, *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])).alias("_last")))
-    across = Window.partitionBy(key).orderBy("_chunk")
-    carry = last.select(key, "_chunk", *[
+    across = Window.partitionBy(key).orderBy("_chunk", "_piece")
+    carry = last.select(*part, *[
         F.lag(F.col("_last")[f"_v{i}"]).over(across).alias(f"_carry{i}") for i in range(len(cols))])
-    carry = carry.withColumnsRenamed({key: "_key", "_chunk": "_of"})
+    carry = carry.withColumnsRenamed({c: f"_of_{c}" for c in part})
     marked = rows.select("*", F.row_number().over(inside).alias("_rn"),
                          *[F.lag(c).over(inside).alias(f"_lag{i}") for i, c in enumerate(cols)])
-    # rows without a key or a time have a chunk of their own, which the join must find
-    joined = marked.join(carry, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_of")), "left")
-    return joined.select(*df.columns, *[
+    joined = marked.join(carry, _matching(part, "_of_"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[
         F.when(F.col("_rn") == 1, F.col(f"_carry{i}")).otherwise(F.col(f"_lag{i}")).alias(name(c))
         for i, c in enumerate(cols)])
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
-                  chunk: Column | None = None) -> DataFrame:
+                  chunk: Column | None = None, shares: int = SHARES) -> DataFrame:
     """0-based position of each row in its key's order; rows without a time come first, those without a key are one group."""
     keys = list(keys)
-    rows = df.withColumn("_chunk", _chunk(order, chunk))
-    sizes = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    of = offsets.withColumnsRenamed({k: f"_of_{k}" for k in [*keys, "_chunk"]})
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_chunk"]]
+    rows = split_hot_chunks(staged(df.withColumn("_chunk", _chunk(order, chunk))), keys, order, shares)
+    part = [*keys, "_chunk", "_piece"]
+    sizes = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_chunk", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*part).orderBy(*order)
+    of = offsets.withColumnsRenamed({k: f"_of_{k}" for k in part})
     return (rows.withColumn("_rn", F.row_number().over(inside))
-            .join(of, same)
-            .select(*df.columns, (F.col("_off") + F.col("_rn") - 1).alias(out)))
+            .join(of, _matching(part, "_of_"))
+            .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_rn") - 1).alias(out)))
 
 
 def group_diff(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-               chunk: Column | None = None) -> DataFrame:
+               chunk: Column | None = None, shares: int = SHARES) -> DataFrame:
     """``{col}_diff``: value minus the previous row's value within the key."""
-    prev = with_previous(df, key, order, cols, chunk, name=lambda c: f"_prev_{c}")
+    prev = with_previous(df, key, order, cols, chunk, lambda c: f"_prev_{c}", shares)
     return prev.select(*df.columns, *[(F.col(c) - F.col(f"_prev_{c}")).alias(f"{c}_diff") for c in cols])
 
 
