@@ -35,6 +35,8 @@ SLIPS = 31
 
 #: Filter bits per word, bits set per word, bits of a block, blocks that are built together, and bytes of filters that are broadcast at a time.
 PER_WORD, PROBES, BLOCK, TOGETHER, ROUND_BYTES = 20, 8, 512, 1024, 32 << 20
+#: Words whose edits a task asks for: a small table of words is a lot of work.
+PER_TASK = 1 << 16
 #: Letters whose edits are hashed at a time.
 SLICE = 1 << 16
 _BASE, _MIX, _SPREAD = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
@@ -246,7 +248,8 @@ def near_pairs(vocab: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
                     [batch.column("word").take(at), batch.column("n").take(at), pa.array(np.concatenate(lengths)),
                      pa.array(np.concatenate(keys).view(np.int64))], ["word", "n", "length", "key"])
 
-        asked = vocab.filter(F.col("length").isin(list(wanted)) | (F.col("length") - 1).isin(list(wanted))).select("word", "n")
+        lengths = [k for k in sizes if k in wanted or k - 1 in wanted]
+        asked = vocab.filter(F.col("length").isin(lengths)).select("word", "n").repartition(1 + sum(sizes[k] for k in lengths) // PER_TASK, "word")
         found = stage(asked.mapInArrow(probe, "word string, n long, length int, key long"))
         sent.unpersist()
         hits = found if hits is None else hits.unionByName(found)
