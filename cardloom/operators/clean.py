@@ -9,6 +9,7 @@ from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, Nume
                                TimestampNTZType, TimestampType)
 
 from ..functions.semantics import INF, dbl
+from .keyfilter import only_known
 from .skew import keyed_join
 
 
@@ -93,8 +94,8 @@ def without_outliers(df: DataFrame, flag: str = "outliers") -> DataFrame:
 
 
 def restrict_to(facts: DataFrame, entities: DataFrame, key: str, row_id: Sequence[str] | None = None) -> DataFrame:
-    """Facts of known entities only."""
-    return keyed_join(facts, entities.select(key), key, "left_semi", row_id=row_id)
+    """Facts of known entities only; most others are dropped by a filter of the keys before the join moves them."""
+    return keyed_join(only_known(facts, entities, key), entities.select(key), key, "left_semi", row_id=row_id)
 
 
 # The name rules that remove columns from the refined feature table.
@@ -109,6 +110,12 @@ def pruned_by_name(name: str) -> bool:
             or name in PRUNE_EQUAL)
 
 
+def names_containing(df: DataFrame, parts: Iterable[str]) -> list[str]:
+    """The column names that contain any of the parts, in the table's order."""
+    parts = list(parts)
+    return [c for c in df.columns if any(p in c for p in parts)]
+
+
 def prune_by_name(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Drop text and timestamp columns and the columns the name rules reject."""
     kept, numeric = set(keep), set(numeric_columns(df))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.tables import write_bucketed
 from .clean import drop_overlap
 from .encode import lookup
 
@@ -16,6 +17,16 @@ def join_features(base: DataFrame, tables: Sequence[DataFrame], key: str) -> Dat
     return reduce(lambda left, right: left.join(drop_overlap(left, right, key), key, "left"), tables, base)
 
 
+def join_bucketed(families: Mapping[str, DataFrame], key: str, buckets: int, folder: str | None = None) -> DataFrame:
+    """Families of one row per key, each staged in the same buckets under its name, then joined: no join moves a row.
+
+    The first family tells the keys; one that another family lacks has NULL there. A column that an earlier family has is not
+    taken again.
+    """
+    tables = [write_bucketed(df, name, key, buckets, None if folder is None else f"{folder}/{name}") for name, df in families.items()]
+    return reduce(lambda left, right: left.join(drop_overlap(left, right, key), key, "left"), tables)
+
+
 def enrich(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Dimension columns on every fact row."""
     return lookup(fact, dim.select(key, *cols), key)

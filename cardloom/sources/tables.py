@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
@@ -96,6 +100,80 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         writer.format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, folder: str | None = None) -> DataFrame:
+    """A table in ``buckets`` files by the hash of ``key``, each sorted by it: joins with others of that kind move nothing.
+
+    Without ``folder`` the table lies in the session's warehouse.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if folder is not None:
+        writer = writer.option("path", folder)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+# ---- versions ----------------------------------------------------------------
+
+#: Part of a versioned folder that lists what was published, one small file each.
+PUBLISHED = "published"
+
+
+def write_version(df: DataFrame, folder: str) -> str:
+    """Write ``df`` as a new version beside the ones that readers use; none of them sees it before ``publish``."""
+    version = f"v{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/{version}")
+    return version
+
+
+def _published(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    try:
+        rows = spark.read.schema("number long, version string, live boolean").json(f"{folder}/{PUBLISHED}").collect()
+    except AnalysisException:  # nothing was published yet
+        return []
+    gone = {r["version"] for r in rows if not r["live"]}
+    return sorted((r["number"], r["version"]) for r in rows if r["live"] and r["version"] not in gone)
+
+
+def _note(spark: SparkSession, folder: str, number: int, version: str, live: bool) -> None:
+    row = spark.createDataFrame([(number, version, live)], "number long, version string, live boolean")
+    row.coalesce(1).write.mode("append").json(f"{folder}/{PUBLISHED}")
+
+
+def publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a version the current one by one more pointer file, which its writer's commit makes visible at once.
+
+    A version that was not written whole has no files to read and is refused. One publisher at a time.
+    """
+    spark.read.parquet(f"{folder}/{version}").schema
+    last = _published(spark, folder)
+    _note(spark, folder, last[-1][0] + 1 if last else 1, version, True)
+
+
+def current_version(spark: SparkSession, folder: str) -> str:
+    """The name of the version published last. A reader that keeps it reads the same table whatever is published later."""
+    known = _published(spark, folder)
+    if not known:
+        raise ValueError(f"nothing is published in {folder}")
+    return known[-1][1]
+
+
+def read_version(spark: SparkSession, folder: str, version: str | None = None) -> DataFrame:
+    """The published version, or the one that is named."""
+    return spark.read.parquet(f"{folder}/{version or current_version(spark, folder)}")
+
+
+def drop_old_versions(spark: SparkSession, folder: str, keep: Iterable[str] = ()) -> list[str]:
+    """Empty the published versions that are neither current nor named, and take them off the list."""
+    kept, dropped = {current_version(spark, folder), *keep}, []
+    for _, version in _published(spark, folder):
+        if version not in kept:
+            _note(spark, folder, 0, version, False)
+            old = f"{folder}/{version}"
+            spark.createDataFrame([], spark.read.parquet(old).schema).write.mode("overwrite").parquet(old)
+            dropped.append(version)
+    return dropped
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
     """Predictions keyed by card, one directory per model and target kind.
 

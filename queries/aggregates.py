@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cardloom.operators import aggregate as ag, quantile as qt, states as st
+from cardloom.operators import aggregate as ag, quantile as qt, sketches as sk, states as st
 
 from cardloom.operators.skew import keyed_join
 from cardloom.session import staged
@@ -96,6 +96,23 @@ def _(t):
                                {"q025": 0.025, "q25": 0.25, "q75": 0.75, "q975": 0.975, "q100": 1})
 
 
+@query("a08_sketched_quantiles", """
+WITH s AS (SELECT category_1, list_sort(list(purchase_amount)) AS v, count(*) AS n FROM txn GROUP BY category_1)
+SELECT category_1, v[CAST(floor(n * 0.25::DOUBLE) AS BIGINT) + 1] AS q25, v[CAST(floor(n * 0.5::DOUBLE) AS BIGINT) + 1] AS q50,
+       v[CAST(floor(n * 0.975::DOUBLE) AS BIGINT) + 1] AS q975, TRUE AS q25_near, TRUE AS q50_near, TRUE AS q975_near
+FROM s""")
+def _(t):
+    # the exact values, and whether those of sketches folded by month and merged lie within the bound of their ranks
+    points = {"q25": 0.25, "q50": 0.5, "q975": 0.975}
+    rows = staged(t.txn.select("category_1", "month_lag", "purchase_amount"))
+    exact = qt.element_quantile(rows, "category_1", "purchase_amount", points)
+    states = staged(sk.fold_sketches(rows, ["category_1", "month_lag"], ["purchase_amount"]))
+    near = sk.quantiles(states, "category_1", "purchase_amount", {f"_{n}": p for n, p in points.items()}, {"": None})
+    ranks = rows.join(near, "category_1").groupBy("category_1").agg(*[
+        (F.abs(F.avg((F.col("purchase_amount") <= F.col(f"_{n}")).cast("int")) - p) <= sk.rank_error()).alias(f"{n}_near") for n, p in points.items()])
+    return exact.join(ranks, "category_1")
+
+
 @query("a09_ranges", """
 WITH s AS (SELECT card_id, list_sort(list(purchase_amount)) AS v, count(*) AS n FROM txn GROUP BY card_id)
 SELECT card_id, round(v[n] - v[1], 4) AS amount_range,

@@ -1,10 +1,13 @@
 """Row-level work: projections, scalar functions, joins, windows and unions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cardloom.functions import dates as d, scalars as sc, semantics as se
 from cardloom.operators import aggregate as ag, clean as cl, encode as en, joins as jo, windows as wi
 from cardloom.operators.skew import keyed_join
+from cardloom.session import shared_folder, staged
 from cardloom.sources.fixtures import ROW_ORDER
 
 from .registry import query
@@ -276,6 +279,14 @@ def _(t):
     return cl.downcast(t.txn.select("state_id", "installments", "purchase_amount", "category_3"))
 
 
+@query("f25_names_containing", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n FROM txn" for c in ("category_1", "category_2", "category_3", "merchant_category_id", "merchant_id")))
+def _(t):
+    names = cl.names_containing(t.txn, ("category", "merchant"))
+    counts = t.txn.agg(*[F.count(c).alias(c) for c in names])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n")) for c in names])))
+
+
 @query("f27_array_element", "SELECT doc_id, string_split(text, ' ')[1] AS first_word, len(string_split(text, ' ')) AS n FROM documents")
 def _(t):
     words = F.split(F.col("text"), " ")
@@ -294,6 +305,22 @@ def _(t):
     return jo.join_features(t.cards.select("card_id", "feature_1"), [a, b], "card_id")
 
 
+@query("j01_join_bucketed", """
+WITH a AS (SELECT card_id, sum(amount_units) AS hist_units, count(*) AS n_rows FROM txn WHERE month_lag < 0 GROUP BY card_id),
+     b AS (SELECT card_id, count(*) AS new_rows FROM txn WHERE month_lag >= 0 GROUP BY card_id),
+     m AS (SELECT card_id, count(DISTINCT merchant_id) AS merchants FROM txn GROUP BY card_id)
+SELECT c.card_id, feature_1, hist_units, n_rows, new_rows, merchants FROM cards c
+LEFT JOIN a ON a.card_id = c.card_id LEFT JOIN b ON b.card_id = c.card_id LEFT JOIN m ON m.card_id = c.card_id""")
+def _(t):
+    rows = staged(t.txn.select("card_id", "month_lag", "amount_units", "merchant_id"))
+    a = rows.filter("month_lag < 0").groupBy("card_id").agg(F.sum("amount_units").alias("hist_units"), F.count(F.lit(1)).alias("n_rows"))
+    b = rows.filter("month_lag >= 0").groupBy("card_id").agg(F.count(F.lit(1)).alias("new_rows"), F.count(F.lit(1)).alias("n_rows"))
+    m = ag.count_bits(ag.value_bits(rows, ["card_id"], "merchant_id"), ["card_id"], ["merchants"])
+    run = uuid.uuid4().hex
+    families = {"cards": t.cards.select("card_id", "feature_1"), "history": a, "new": b, "merchants": m}
+    return jo.join_bucketed({f"{n}_{run}": df for n, df in families.items()}, "card_id", 8, shared_folder(t.spark))
+
+
 @query("j02_enrich_with_merchant", f"""
 SELECT x.card_id, {ORDS}, m.most_recent_sales_range, m.category_4 FROM txn x LEFT JOIN merchants m ON m.merchant_id = x.merchant_id""")
 def _(t):
