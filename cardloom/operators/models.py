@@ -23,7 +23,7 @@ from ..functions.semantics import INF, dbl
 from ..session import shared_folder
 from .blend import METRICS, score_summary
 from .clean import flag_outliers, without_outliers
-from .folds import assign_folds
+from .folds import assign_folds, sample
 from .select import importance_scores, top_names
 
 # Settings of the random forest and its grid.
@@ -98,18 +98,22 @@ def _scored(model, df: DataFrame, kind: str, out: str) -> DataFrame:
     return made.select(*df.columns, value.alias(out))
 
 
+def _with_folds(rows: DataFrame, key: str, k: int, seed: int, fold: Column | None) -> DataFrame:
+    return assign_folds(rows, key, k, seed).drop("repeat") if fold is None else rows.withColumn("fold", fold)
+
+
 def oof_fit_predict(train: DataFrame, test: DataFrame | None, estimator: Estimator, key: str = "card_id", y: str = "target",
-                    kind: str = "regression", k: int = 5, seed: int = 0, features: str = "features") -> OutOfFold:
+                    kind: str = "regression", k: int = 5, seed: int = 0, features: str = "features", fold: Column | None = None) -> OutOfFold:
     """Fit on k-1 folds, predict the held-out one, and average the k models on the test rows.
 
-    ``train`` has (key, y, vector). An estimator with a validation column sees
+    ``train`` has (key, y, vector). ``fold`` gives the folds, otherwise they are balanced and shuffled. An estimator with a validation column sees
     the held-out fold for early stopping. The test rows pass all models in one
     scan, without a shuffle.
     """
     est = estimator.copy()
     est.setLabelCol("_label").setFeaturesCol(features)
     early = est.hasParam("validationIndicatorCol") and est.isSet("validationIndicatorCol")
-    rows = assign_folds(train.select(key, y, features), key, k, seed).drop("repeat")
+    rows = _with_folds(train.select(key, y, features), key, k, seed, fold)
     staged = shared_folder(train.sparkSession)
     rows.withColumn("_label", dbl(y)).write.parquet(staged)
     rows = train.sparkSession.read.parquet(staged)
@@ -159,8 +163,8 @@ def _param_maps(est: Estimator, settings: Sequence[Mapping]) -> list[dict]:
 
 
 def _search(est: Estimator, settings: Sequence[Mapping], rows: DataFrame, key: str, y: str, folds: int, seed: int,
-            parallelism: int, features: str):
-    labelled = assign_folds(rows.select(key, y, features), key, folds, seed).withColumn("_label", dbl(y))
+            parallelism: int, features: str, fold: Column | None = None):
+    labelled = _with_folds(rows.select(key, y, features), key, folds, seed, fold).withColumn("_label", dbl(y))
     est = est.copy()
     est.setLabelCol("_label").setFeaturesCol(features)
     cv = CrossValidator(estimator=est, estimatorParamMaps=_param_maps(est, settings), numFolds=folds, foldCol="fold",
@@ -176,13 +180,56 @@ def _search(est: Estimator, settings: Sequence[Mapping], rows: DataFrame, key: s
 
 
 def grid_search(est: Estimator, grid: Mapping[str, Sequence], rows: DataFrame, key: str = "card_id", y: str = "target",
-                folds: int = 2, seed: int = 22, parallelism: int = 4, features: str = "features"):
+                folds: int = 2, seed: int = 22, parallelism: int = 4, features: str = "features", fold: Column | None = None):
     """Exhaustive search by mean squared error: (best model, best setting, table of mean and 2 * std per setting)."""
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(est.getParam(name), list(values))
     settings = [{p.name: v for p, v in m.items()} for m in builder.build()]
-    return _search(est, settings, rows, key, y, folds, seed, parallelism, features)
+    return _search(est, settings, rows, key, y, folds, seed, parallelism, features, fold)
+
+
+@dataclass
+class Rung:
+    """What one rung of a halving search costs: its settings, the rounds of each fit and the share of the rows."""
+
+    settings: int
+    rounds: int
+    share: float
+
+
+def rungs(settings: int, rounds: int, keep: int = 2, smallest: float = 0.25) -> list[Rung]:
+    """From all settings to the last one, each rung with 1/``keep`` of the settings, ``keep`` times the rounds and a growing share.
+
+    Rounds start so that the last rung has them all; a rung costs about as much as any other, and all of them together
+    ``rounds`` times the number of rungs, in place of ``rounds`` times the number of settings.
+    """
+    counts = [settings]
+    while counts[-1] > 1:
+        counts.append(-(-counts[-1] // keep))
+    last = len(counts) - 1
+    return [Rung(n, max(1, rounds // keep ** (last - i)), max(smallest, 1.0 / keep ** (last - i)) if i < last else 1.0) for i, n in enumerate(counts)]
+
+
+def halving_search(est: Estimator, settings: Sequence[Mapping], budget: str, rounds: int, rows: DataFrame, key: str = "card_id", y: str = "target",
+                   keep: int = 2, folds: int = 2, seed: int = 22, parallelism: int = 4, features: str = "features", fold: Column | None = None):
+    """Successive halving: (best model, best setting, table of every rung).
+
+    ``budget`` names the parameter that counts rounds or trees. The settings of a rung are fitted side by side on a sample of the
+    keys; samples of later rungs hold those of earlier ones. The better half by held-out mean squared error goes on; errors
+    that agree to nine digits are ordered as the settings are. The last setting is fitted on all rows with all rounds.
+    """
+    alive, table, model = list(range(len(settings))), [], None
+    for at, rung in enumerate(rungs(len(settings), rounds, keep)):
+        part = rows if rung.share == 1.0 else sample(rows, key, rung.share, seed)
+        model, _, scores = _search(est, [{**settings[i], budget: rung.rounds} for i in alive], part, key, y, folds, seed, parallelism, features, fold)
+        errors = {alive[r["setting"]]: float(r["mean_mse"]) for r in scores.collect()}
+        order = sorted(alive, key=lambda i: (float(f"{errors[i]:.9g}"), i))
+        stay = -(-len(alive) // keep) if len(alive) > 1 else 1
+        table += [(at, i, rung.rounds, rung.share, errors[i], i in order[:stay]) for i in alive]
+        alive = sorted(order[:stay])
+    return model, dict(settings[alive[0]]), rows.sparkSession.createDataFrame(
+        table, "rung int, setting int, rounds int, share double, mean_mse double, kept boolean")
 
 
 def draw_settings(space: Mapping[str, tuple], n: int, seed: int) -> list[dict]:

@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardloom.operators import aggregate as ag, models as mo
+from cardloom.operators.folds import fold_of
 
 from .registry import query
 
@@ -85,6 +86,68 @@ def _(t):
     return scores
 
 
+# One split on a flag: a fit is the mean of each side, so that folds and searches have exact SQL.
+_ONE_SPLIT = dict(numTrees=1, maxDepth=1, bootstrap=False, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1)
+
+
+def _one_split(t):
+    return mo.assemble_matrix(t.cards.filter("split = 'train'"), ["feature_3"], "card_id", "target")
+
+
+def _fold_sql(k, seed, rows="cards WHERE split = 'train'"):
+    return f"f AS (SELECT card_id, target, feature_3, CAST((card_id * 7919 + {seed}) % {k} AS INT) AS fold FROM {rows})"
+
+
+@query("m02_one_split_out_of_fold", f"""
+WITH {_fold_sql(5, 22)}
+SELECT a.card_id, a.fold, round(avg(b.target), 4) AS pred FROM f a JOIN f b ON b.fold <> a.fold AND b.feature_3 = a.feature_3 GROUP BY a.card_id, a.fold""")
+def _(t):
+    fitted = mo.oof_fit_predict(_one_split(t), None, mo.forest(**_ONE_SPLIT), k=5, fold=fold_of(F.col("card_id"), 5, 22))
+    return fitted.oof.select("card_id", "fold", F.round("pred", 4).alias("pred"))
+
+
+def _errors_sql(name):
+    """(fold, split, flat): held-out error of the mean of each side and of the mean of all, of the rows in ``name``."""
+    return (f"(SELECT a.fold, avg(pow(a.target - s.m, 2)) AS split, avg(pow(a.target - w.m, 2)) AS flat FROM {name} a "
+            f"JOIN (SELECT o.k, feature_3, avg(target) AS m FROM {name} JOIN (VALUES (0), (1)) o(k) ON o.k <> fold GROUP BY 1, 2) s ON s.k = a.fold AND s.feature_3 = a.feature_3 "
+            f"JOIN (SELECT o.k, avg(target) AS m FROM {name} JOIN (VALUES (0), (1)) o(k) ON o.k <> fold GROUP BY 1) w ON w.k = a.fold GROUP BY a.fold)")
+
+
+@query("m07_one_split_grid", f"""
+WITH {_fold_sql(2, 22)}, e AS (SELECT * FROM {_errors_sql('f')}),
+g AS (SELECT 0 AS setting, 'minInfoGain=0.0' AS params, avg(split) AS m, stddev_pop(split) AS s FROM e UNION ALL SELECT 1, 'minInfoGain=1e+18', avg(flat), stddev_pop(flat) FROM e)
+SELECT CAST(setting AS INT) AS setting, params, round(m, 3) AS mean_mse, round(2 * s, 3) AS two_std, round(sqrt(m), 6) AS rmse FROM g""")
+def _(t):
+    _, _, table = mo.grid_search(mo.forest(**_ONE_SPLIT), {"minInfoGain": [0.0, 1e18]}, _one_split(t), fold=fold_of(F.col("card_id"), 2, 22))
+    return table.select("setting", "params", F.round("mean_mse", 3).alias("mean_mse"), F.round("two_std", 3).alias("two_std"), F.round("rmse", 6).alias("rmse"))
+
+
+# Settings of which the last alone may split.
+_HALVED = [{"minInfoGain": g, "maxDepth": d, "minInstancesPerNode": n} for g, d, n in (
+    (1e18, 0, 1), (1e18, 0, 1_000_000_000), (1e18, 1, 1), (1e18, 1, 1_000_000_000), (0.0, 0, 1), (0.0, 0, 1_000_000_000), (0.0, 1, 1_000_000_000), (0.0, 1, 1))]
+
+
+def _halving_sql():
+    ctes, plan = [_fold_sql(2, 22)], mo.rungs(len(_HALVED), 8)
+    for i, rung in enumerate(plan):
+        bound = int(rung.share * (1 << 52))
+        ctes.append(f"p{i} AS (SELECT * FROM f WHERE ('0x' || substr(md5(card_id || ':22'), 1, 13))::BIGINT < {bound})" if rung.share < 1 else f"p{i} AS (SELECT * FROM f)")
+        before = "(SELECT unnest(range(8)) AS setting)" if i == 0 else f"(SELECT setting FROM r{i - 1} WHERE kept)"
+        ctes.append(f"r{i} AS (SELECT *, row_number() OVER (ORDER BY round(mean_mse, 3), setting) <= {-(-rung.settings // 2)} AS kept FROM "
+                    f"(SELECT {i} AS rung, setting, {rung.rounds} AS rounds, {rung.share}::DOUBLE AS share, CASE WHEN setting = 7 THEN (SELECT avg(split) FROM e{i}) "
+                    f"ELSE (SELECT avg(flat) FROM e{i}) END AS mean_mse FROM {before}))")
+        ctes.insert(-1, f"e{i} AS (SELECT * FROM {_errors_sql(f'p{i}')})")
+    return "WITH " + ", ".join(ctes) + " UNION ALL ".join(
+        f" SELECT CAST(rung AS INT) AS rung, CAST(setting AS INT) AS setting, CAST(rounds AS INT) AS rounds, share, round(mean_mse, 3) AS mean_mse, kept FROM r{i}" for i in range(len(plan)))
+
+
+@query("m08_successive_halving", _halving_sql())
+def _(t):
+    est = mo.forest(**{k: v for k, v in _ONE_SPLIT.items() if k not in ("numTrees", "maxDepth", "minInstancesPerNode")})
+    _, _, table = mo.halving_search(est, _HALVED, "numTrees", 8, _one_split(t), fold=fold_of(F.col("card_id"), 2, 22))
+    return table.withColumn("mean_mse", F.round("mean_mse", 3))
+
+
 @query("m15_target_variants", """
 SELECT 'all' AS variant, count(*) AS n, count(*) FILTER (target < -900) AS outliers FROM cards WHERE split = 'train'
 UNION ALL SELECT 'normal', count(*), 0 FROM cards WHERE split = 'train' AND target >= -900
