@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardloom.session import shared_folder
 
-from .common import running_offsets, stage
+from .common import running_offsets, stage, tidy
 from .tokens import encoder, vocabulary
 
 END = 1
@@ -34,6 +34,8 @@ END = 1
 LIMIT = 16
 #: Ids in a block, and ids between two of its bit offsets.
 BLOCK, STEP = 1 << 19, 256
+#: Bytes, about, of each of the two generations of chunks that a worker remembers while it encodes.
+REMEMBERED = 160 << 20
 
 BLOCKS = ("part int, block int, first_id long, n_ids int, first_document long, doc_ids array<bigint>, n_tokens array<int>, "
           "continues boolean, goes_on boolean, bit_offsets binary, bits binary")
@@ -142,35 +144,35 @@ def width(path: str, end: int = END) -> str:
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> DataFrame:
-    """Per row of ``docs``: doc_id, ids (little-endian, of the width that ``width`` tells, the end id last)."""
+    """Per row of ``docs``: doc_id, ids (little-endian, of the width that ``width`` tells, the end id last).
+
+    A task adds one row without ``ids`` that has in ``seen`` and ``times`` which ids it wrote and how often.
+    """
     kind = width(path, end)
     last = array(kind, [end]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path, kind)
+        encode, total = encoder(path, kind, REMEMBERED), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at:at + 512]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [x + last for x in encode(part["text"])]})
+                ids = [x + last for x in encode(part["text"])]
+                found = np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
+                found[:len(total)] += total
+                total = found
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "seen": None, "times": None})
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"doc_id": [None], "ids": [None], "seen": [seen], "times": [total[seen]]})
 
     # ids pass pandas as text, where whole numbers beside nulls would turn into fractions
     return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        run, "doc_id string, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
-
+        tidy(run), "doc_id string, ids binary, seen array<long>, times array<long>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
-def id_counts(rows: DataFrame, kind: str) -> DataFrame:
-    """(id, count) over the ids of all rows; a task sends one row per id it has seen."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch["ids"]:
-                found = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
-                found[:len(total)] += total
-                total = found
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"id": seen, "count": total[seen]})
 
-    return rows.select("ids").mapInPandas(count, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+def id_counts(rows: DataFrame) -> DataFrame:
+    """(id, count) over the ids of all rows, from what each task counted."""
+    pairs = rows.filter("seen IS NOT NULL").select(F.explode(F.arrays_zip("seen", "times")).alias("pair"))
+    return pairs.groupBy(F.col("pair.seen").alias("id")).agg(F.sum("pair.times").alias("count"))
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -180,7 +182,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
     path = path or vocabulary("word_bpe_49k.json")
     kind = width(path, end)
     rows = stage(encoded(docs, path, id_col, text_col, end), "zstd")
-    counts = id_counts(rows, kind).toPandas().sort_values("id")  # one row per vocabulary entry at most
+    counts, rows = id_counts(rows), rows.filter("ids IS NOT NULL").select("doc_id", "ids")
+    counts = counts.toPandas().sort_values("id")  # one row per vocabulary entry at most
     limit = max(limit, int(len(counts)).bit_length())
     bits = code_lengths(counts["count"].to_numpy(), limit)
     spark.createDataFrame(counts.assign(bits=bits.astype(np.int32)), "id long, count long, bits int").coalesce(1).write.parquet(
@@ -211,7 +214,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
             for doc, raw in zip(batch["doc_id"], batch["ids"]):
-                own = np.frombuffer(raw, kind).astype(np.int64)
+                own = np.frombuffer(raw, kind)
                 held.append(own)
                 size += len(own)
                 ends.append(size)
@@ -224,7 +227,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
     hashed = F.xxhash64("ids")
     ordered = (rows.withColumn("hash", hashed).repartitionByRange(F.col("doc_id").asc_nulls_first(), "hash")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash", "ids"))
-    ordered.select(F.col("doc_id").cast("string"), "ids", F.spark_partition_id().alias("part")).mapInPandas(to_blocks, BLOCKS).write.option(
+    ordered.select(F.col("doc_id").cast("string"), "ids", F.spark_partition_id().alias("part")).mapInPandas(tidy(to_blocks), BLOCKS).write.option(
         "compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -239,20 +242,20 @@ def read(spark: SparkSession, folder: str, step: int = STEP, with_ids: bool = Fa
         code = Code(ids, bits)
         for batch in batches:
             for b in batch.itertuples():
-                raw = code.decode(b.bits, b.bit_offsets, b.n_ids, step).astype("<u4").tobytes()
+                raw = memoryview(code.decode(b.bits, b.bit_offsets, b.n_ids, step).astype("<u4", copy=False)).cast("B")
                 rows, at, last = [], 0, len(b.n_tokens) - 1
                 for k, (doc, n) in enumerate(zip(b.doc_ids, b.n_tokens)):
                     own = raw[4 * at:4 * (at + n)]
                     whole = not (k == 0 and b.continues or k == last and b.goes_on)
                     rows.append((b.part, b.first_document + k, b.block, doc, b.first_id + at, n,
-                                 zlib.crc32(own), whole, own)[:len(columns)])
+                                 zlib.crc32(own), whole, *([bytes(own)] if with_ids else [])))
                     at += int(n)
                 yield pd.DataFrame(rows, columns=columns)
 
     schema = ("part int, document long, block int, doc_id string, first_id long, n_tokens long, ids_crc32 long, whole boolean"
               + (", ids binary" if with_ids else ""))
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
-    return blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(decode, schema).withColumn(
+    return blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(tidy(decode), schema).withColumn(
         "doc_id", F.col("doc_id").cast("long"))
 
 

@@ -20,7 +20,13 @@ from collections.abc import Iterable
 REMEMBERED, ENTRY, LONGEST = 64 << 20, 160, 64
 
 _EDGE = re.compile(r"(?<=\S)(?= \S)")
-_RARE_BLANK = re.compile(r"[^\S \n]")
+#: White space but the blank and the line feed; a search for each is faster than one for their class.
+_RARE_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+#: A full stop or comma that ends a chunk but does not follow a letter.
+_ODD_STOP = re.compile(r"(?<![A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])[.,][ \n]")
+#: The same for texts below U+0100, as kinds of characters: a letter, . stop or comma, blank or line feed, x any other.
+_KINDS = bytes(ord("a") if chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA) else ord(".") if chr(c) in ".," else ord(" ") if chr(c) in " \n" else ord("x")
+               for c in range(256))
 #: Byte-level vocabularies write a byte as a visible character: itself where printable, else the next one from 256 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
@@ -34,6 +40,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def odd_stop(text: str) -> bool:
+    """Whether a full stop or comma before a blank or line feed follows anything but a letter."""
+    try:
+        kinds = text.encode("latin-1").translate(_KINDS)
+    except UnicodeEncodeError:
+        return _ODD_STOP.search(text) is not None
+    return b"x. " in kinds or b" . " in kinds or b".. " in kinds or kinds.startswith(b". ")
+
+
 class ChunkEncoder(dict):
     """Ids of texts as little-endian bytes, 32 or (``kind`` H) 16 bits each, without special tokens added.
 
@@ -92,9 +107,12 @@ class ChunkEncoder(dict):
     @staticmethod
     def chunks(text: str) -> list[str]:
         odd = ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\x00" in text
-               or text[0].isspace() or text[-1].isspace() or _RARE_BLANK.search(text))
+               or text[0].isspace() or text[-1].isspace() or any(c in text for c in _RARE_BLANKS))
         if odd:
             return _EDGE.split(text)
+        if not odd_stop(text):
+            # a stop after a letter is a pre-token of its own, so words are remembered without it
+            text = text.replace(". ", "\x00. ").replace(", ", "\x00, ").replace(".\n", "\x00.\n").replace(",\n", "\x00,\n")
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
 
     def one(self, text: str | None) -> bytes:

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stage, whole
+from .common import stage, tidy, whole
 
 #: Examples drawn of each label at most (about), examples of a block, distinct features of an example that are learnt.
 PER_LABEL, BLOCK, MOST = 4000, 2000, 1 << 14
@@ -381,7 +381,7 @@ def scored(docs: DataFrame, model: Model, keep: list[Column], text: Column, leas
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in kept], pa.array(score), pa.array((score >= least).astype(np.int32))], [*kept, "score", "predicted"])
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(tidy(run), out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

@@ -32,7 +32,7 @@ def crc(ids):
 def test_chunked_encoding_is_that_of_the_library(docs):
     odd = ["", " ", "\n", "a  b", " a", "a ", "a\n\nb", "a \n b", "a\tb c", "don't we'll x's", "<|endoftext|> a", "a<|endoftext|>b c",
            "Ärger ÉTÉ é éa İ ſ ΑΣ ΣΑΣ.", " x y  z", "x\x00y z", "1234 5a a5 ½ ² x2,. ...", "日本 語。 🙂🙂 \U0001F600 a",
-           "word,### next%%% !!THE!!", "\x1cx \x1c y", "a\u0000 b", "ǅ ǆa Ǆ", "İstanbul I", "﻿x y", "ﬁn ﬁ, x'", "'s 's' a's,", "_a_ b_ _c"]
+           "word,### next%%% !!THE!!", "\x1cx \x1c y", "a\u0000 b", "ǅ ǆa Ǆ", "İstanbul I", "﻿x y", "ﬁn ﬁ, x'", "'s 's' a's,", "_a_ b_ _c", "a ×. b ÷, c", "x. y, z.\nw,\nv", "ª. º, µ. b", "日. a, b", "4.0, 2. 0", ". a", ", a", "a., b", "a,. b"]
     texts = odd + [d["text"] for d in docs] + [" ".join(odd)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         for remembered in (50, 10 ** 6):
