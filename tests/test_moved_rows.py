@@ -15,7 +15,7 @@ def facts(spark):
     # 1,500 cards of two or three rows: none has more than a thousandth of them
     rows = spark.range(4000).select((F.col("id") % 1500).alias("card"), F.col("id").alias("seq"), (F.col("id") % 7).alias("a"),
                                     F.concat(F.lit("No "), (F.col("id") % 40).cast("string")).alias("b"), (F.col("id") % 3 - 1).alias("lag"))
-    return rows.withColumn("ts", F.lit(dt.datetime(2020, 1, 1)) + F.make_dt_interval(F.col("id") % 11))
+    return rows.withColumn("ts", F.lit(dt.datetime(2020, 1, 1)) + F.make_dt_interval((F.col("seq") % 11).cast("int")))
 
 
 def plan(df):
