@@ -20,7 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.semantics import INF, dbl
-from ..session import shared_folder
+from ..session import shared_folder, staged
 from .blend import METRICS, score_summary
 from .clean import flag_outliers, without_outliers
 from .folds import assign_folds, sample
@@ -164,7 +164,8 @@ def _param_maps(est: Estimator, settings: Sequence[Mapping]) -> list[dict]:
 
 def _search(est: Estimator, settings: Sequence[Mapping], rows: DataFrame, key: str, y: str, folds: int, seed: int,
             parallelism: int, features: str, fold: Column | None = None):
-    labelled = _with_folds(rows.select(key, y, features), key, folds, seed, fold).withColumn("_label", dbl(y))
+    # every fit and every score reads the rows again
+    labelled = staged(_with_folds(rows.select(key, y, features), key, folds, seed, fold).withColumn("_label", dbl(y)))
     est = est.copy()
     est.setLabelCol("_label").setFeaturesCol(features)
     cv = CrossValidator(estimator=est, estimatorParamMaps=_param_maps(est, settings), numFolds=folds, foldCol="fold",

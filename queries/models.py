@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cardloom.operators import aggregate as ag, models as mo
 from cardloom.operators.folds import fold_of
+from cardloom.session import staged
 
 from .registry import query
 
@@ -23,7 +24,8 @@ def _table(t):
 
 def _matrices(t):
     train, test = _table(t)
-    return mo.assemble_matrix(train, FEATS, "card_id", "target"), mo.assemble_matrix(test, FEATS, "card_id")
+    # training reads the matrix many times
+    return staged(mo.assemble_matrix(train, FEATS, "card_id", "target")), mo.assemble_matrix(test, FEATS, "card_id")
 
 
 @query("m02_out_of_fold_predictions")
