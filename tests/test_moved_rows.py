@@ -3,9 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from cardloom.operators import text as tx, windows as wi
+from cardloom.operators import aggregate as ag, pivot as pv, skew as sk, text as tx, windows as wi
+from queries.features import vector_entries
 
 ORDER = ["ts", "seq"]
 
@@ -31,3 +33,27 @@ def test_id_lists_are_numbered_before_they_are_multiplied(facts):
 def test_previous_row_moves_rows_once(facts):
     text = plan(wi.with_previous(facts, "card", ORDER, ["a"]))
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def hashed(df):
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def test_steps_by_card_move_nothing_after_the_buckets(facts):
+    toks = tx.document_tokens(facts, "card", ["a", "b"], ORDER, {"new": "lag >= 0", "all": None})
+    assert hashed(tx.count_terms(toks, "card")) == 0 and hashed(tx.bigrams(toks, "card", ORDER)) == 0
+    assert hashed(pv.cross_sums(facts, "card", ["a", "b"], ["lag"])) == 0
+    assert hashed(ag.two_level_many(facts, "card", [("a", "b")], ["a", "b"], "seq", "lag")) == 0
+
+
+def test_a_hot_key_is_not_put_into_one_bucket(spark, facts):
+    rows = sk.staged_by_key(facts, "card", bucket_rows=1)
+    assert sk.lies_by_key(rows, "card") and rows.count() == 4000
+    hot = facts.withColumn("card", F.when(F.col("seq") % 3 > 0, F.col("card")))
+    assert not sk.lies_by_key(sk.staged_by_key(hot, "card", bucket_rows=10), "card")
+
+
+def test_vector_entries_are_not_made_dense(spark):
+    # a dense array of the first would not fit
+    df = spark.createDataFrame([(1, Vectors.sparse(2_000_000_000, {5: 2.0, 1_999_999_999: 3.0})), (2, Vectors.dense([0.0, 4.0])), (3, Vectors.dense([]))], ["card_id", "v"])
+    assert sorted(map(tuple, vector_entries(df, "v").collect())) == [(1, 5, 2.0), (1, 1_999_999_999, 3.0), (2, 1, 4.0)]
