@@ -6,7 +6,8 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from cardloom.operators import aggregate as ag, pivot as pv, skew as sk, text as tx, windows as wi
+from cardloom.operators import aggregate as ag, pivot as pv, quantile as qt, skew as sk, text as tx, windows as wi
+from cardloom.plans import refined as rf
 from queries.features import vector_entries
 
 ORDER = ["ts", "seq"]
@@ -46,6 +47,24 @@ def test_steps_by_card_move_nothing_after_the_buckets(facts):
     assert hashed(ag.two_level_many(facts, "card", [("a", "b")], ["a", "b"], "seq", "lag")) == 0
 
 
+def test_quantiles_of_bucketed_rows_move_nothing(facts):
+    # odd and even groups, ties, -0.0, infinities, missing values, a card without a value and rows without a card
+    v = F.when(F.col("seq") % 13 == 0, None).when(F.col("seq") % 17 == 0, float("inf")).when(F.col("seq") % 19 == 0, -0.0).otherwise((F.col("seq") % 5).cast("double"))
+    rows = facts.select(F.when(F.col("card") > 2, F.col("card")).alias("card_id"), F.when(F.col("card") != 9, v).alias("purchase_amount"), (F.col("a") - 3).alias("month_diff"),
+                        F.col("lag").alias("month_lag"))
+    wide, segs = sk.staged_by_key(rows, "card_id"), {"hist_last2_": "month_lag < 0", "new_": "month_lag >= 0", "all_": "true"}
+    ranks = {"low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.floor(n / 2), "q": qt.element_rank(0.975)}
+
+    def both(step):
+        return [sorted(map(repr, step(df).collect())) for df in (wide, rows)]
+
+    here, there = both(lambda df: qt.rank_values(df, "card_id", "purchase_amount", ranks))
+    assert here == there
+    here, there = both(lambda df: rf._order_statistics(df, segs))
+    assert here == there and len(here) == 1497
+    assert sk.lies_by_key(wide, "card_id") and hashed(rf._order_statistics(wide, segs)) == 0
+
+
 def test_a_hot_key_is_not_put_into_one_bucket(spark, facts):
     rows = sk.staged_by_key(facts, "card", bucket_rows=1)
     assert sk.lies_by_key(rows, "card") and rows.count() == 4000
