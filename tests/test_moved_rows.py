@@ -72,6 +72,14 @@ def test_a_hot_key_is_not_put_into_one_bucket(spark, facts):
     assert not sk.lies_by_key(sk.staged_by_key(hot, "card", bucket_rows=10), "card")
 
 
+def test_a_join_of_unlike_parts_does_not_lie_by_key(spark, facts):
+    # one side is spread over the cores and the other is not, as with a small and a large table
+    joined = facts.repartition(3).join(spark.range(4000).hint("merge"), F.col("seq") == F.col("id")).drop("id")
+    assert not sk.lies_by_key(joined, "card")
+    last = wi.days_to_last(joined, "card", "ts").agg(F.count("purchase_day_since_reference_day")).first()
+    assert last[0] == 4000
+
+
 def test_vector_entries_are_not_made_dense(spark):
     # a dense array of the first would not fit
     df = spark.createDataFrame([(1, Vectors.sparse(2_000_000_000, {5: 2.0, 1_999_999_999: 3.0})), (2, Vectors.dense([0.0, 4.0])), (3, Vectors.dense([]))], ["card_id", "v"])
