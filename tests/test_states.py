@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.operators import aggregate as ag, states as st
+from cardloom.operators.skew import lies_by_key, staged_by_key
 from cardloom.plans import prepare as pp, refined as rf
 from cardloom.session import staged
 from cardloom.sources.fixtures import Tables
@@ -112,6 +113,33 @@ def test_a_new_month_appended_gives_the_same_families(facts):
         assert plain[0] == pytest.approx(plain[1], rel=1e-9, abs=1e-6, nan_ok=True)
 
 
+def test_staging_moves_neither_functions_of_the_moment_nor_unread_columns(spark, facts):
+    t, df = facts
+
+    def written(every):
+        return set(spark.read.parquet(*every.inputFiles()).columns)
+
+    def plain(rows):
+        return sorted(map(repr, rows.collect()))
+
+    every, pivots = rf.staged_rows(df), rf.staged_rows(df, rf.PIVOT_COLUMNS, t.txn_sizes)
+    assert not {*rf.DAY_PARTS, "hour", "purchase_date_floorday"} & written(every)
+    assert written(pivots) == {"card_id", "is_new", "authorized_flag", "category_1", "category_2", "category_3", "month_lag", "subsector_id", "merchant_id", "purchase_date"}
+    assert lies_by_key(every, "card_id") and lies_by_key(pivots, "card_id")
+    assert every.dtypes == df.select(*rf.FACT_COLUMNS).dtypes and plain(every) == plain(df.select(*rf.FACT_COLUMNS))
+    assert plain(pivots) == plain(df.select(*rf.PIVOT_COLUMNS))
+
+
+def test_rows_of_a_card_are_counted_from_the_keys(spark, facts):
+    t, df = facts
+    got, want = (sorted(map(tuple, d.groupBy("card_id").agg(n).collect())) for d, n in ((t.txn_sizes, F.sum("_n")), (df, F.count("*"))))
+    assert got == want and scans(t.txn_sizes, "part") + scans(t.txn_sizes, "supplier") == 0
+    # a hot key is found by the numbers alone
+    sizes = spark.createDataFrame([(1, 900), (2, 100)], "card_id long, _n long")
+    few = spark.range(10).select(F.col("id").alias("card_id"))
+    assert not lies_by_key(staged_by_key(few, "card_id", bucket_rows=10, sizes=sizes), "card_id")
+
+
 def scans(df, table):
     text = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     return text.count(f"{table}.parquet")
