@@ -140,6 +140,25 @@ def test_rows_of_a_card_are_counted_from_the_keys(spark, facts):
     assert not lies_by_key(staged_by_key(few, "card_id", bucket_rows=10, sizes=sizes), "card_id")
 
 
+def test_base_statistics_move_nothing_after_staging(facts, monkeypatch):
+    _, df = facts
+    every = rf.staged_rows(df, rf.BASE_COLUMNS)
+
+    def plain(got):
+        return {r["card_id"]: [float("nan") if x is None else float(x) for x in r] for r in got.collect()}
+
+    here = rf.base_statistics(every, AS_OF)
+    small = plain(here)
+    text = here._jdf.queryExecution().executedPlan().toString()
+    assert len(small) > 1 and "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+    # categories with more values than may be broadcast
+    monkeypatch.setattr(rf, "is_small", lambda table: False)
+    large = plain(rf.base_statistics(every, AS_OF))
+    assert set(small) == set(large)
+    for k, v in large.items():
+        assert small[k] == pytest.approx(v, rel=1e-9, abs=1e-9, nan_ok=True)
+
+
 def scans(df, table):
     text = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     return text.count(f"{table}.parquet")
