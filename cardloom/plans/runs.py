@@ -53,9 +53,10 @@ def run_baseline(cards: DataFrame, hist: DataFrame, new: DataFrame, merchants: D
     train, test = pp.prepare_cards(train, test)
     coded = train.unionByName(test)
     ready = pp.prepare_merchants(merchants, merchant_order)
-    cross = ba.cross_features(pp.prepare_transactions(new, hist, ready, 1, order), cards)
+    rows = pp.stage_transactions(new, hist)
+    cross = ba.cross_features(pp.prepare_staged(rows, ready, 1, order), cards)
     chosen = ba.select_cross_features(cross, train, k=top)
-    stats = ba.card_statistics(pp.prepare_transactions(new, hist, ready, 2, order))
+    stats = ba.card_statistics(pp.prepare_staged(rows, ready, 2, order))
     table = _staged(ba.assemble(coded, cross, stats, names=chosen), f"{folder}/baseline_features")
     train, test = _halves(table)
     names = select_by_correlation(train.drop(SPLIT), k=top, sparse_limit=None)
